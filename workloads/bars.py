@@ -178,13 +178,13 @@ def date_parts(spark, sf):
 
 @query("pct_change", with_sql("""
 SELECT "Ticker", "Date", ("Close" - "Open") / nullif("Open", 0) * 100.0 AS pct, "Close" / nullif("Open", 0) - 1 AS ratio,
-       CAST(round(CAST("Close" * 1.005 AS DECIMAL(38,12)), 2) AS DOUBLE) AS rounded FROM bars_supplier"""))
+       (2 * CAST(round("Close" * 100) AS BIGINT) + 8) // 16 / 100.0 AS rounded FROM bars_supplier"""))
 def pct_change(spark, sf):
     return bars_supplier(spark, sf).select(
         "Ticker", "Date",
         fn.percent_change(F.col("Close"), F.col("Open")).alias("pct"),
         fn.ratio_return(F.col("Close"), F.col("Open")).alias("ratio"),
-        fn.round_half_up(F.col("Close") * 1.005, 2).alias("rounded"),
+        fn.round_half_up(F.col("Close") / 8, 2).alias("rounded"),
     )
 
 
