@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import GaussianMixture, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -49,16 +50,22 @@ def silhouette(predictions: DataFrame) -> float:
 
 
 def _sweep(
-    df: DataFrame, features: Sequence[str], ks: Iterable[int], score: Callable[[DataFrame, int], dict[str, float]]
+    df: DataFrame, features: Sequence[str], ks: Sequence[int], score: Callable[[DataFrame, int], dict[str, float]]
 ) -> list[tuple[int, dict[str, float]]]:
     """Score every ``k`` over vectors that are assembled once and spill to disk if they must."""
     vectors = assembler(features).transform(df).select("features").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return [(k, score(vectors, k)) for k in ks]
+        return list(zip(ks, _side_by_side(df.sparkSession, lambda k: score(vectors, k), ks)))
     finally:
         vectors.unpersist()
 
 
+def _side_by_side(spark: SparkSession, fit: Callable, inputs: Sequence) -> list:
+    """Independent fits as concurrent jobs, so that small iterations do not wait for each other."""
+    with ThreadPoolExecutor(max_workers=max(1, len(inputs))) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(fit), inputs))
+
+
 def _runs(spark: SparkSession, scored: list[tuple[int, dict[str, float]]], seed: int) -> DataFrame:
     rows = [(uuid.uuid4().hex, {"k": str(k), "seed": str(seed)}, metrics) for k, metrics in scored]
     return spark.createDataFrame(rows, RUN_SCHEMA)
@@ -103,18 +110,32 @@ def k_by_loglik(
 
 
 def gmm_repeat(df: DataFrame, repetitions: int = 5, k: int = 2, seed: int = SEED) -> DataFrame:
-    """Assignments of several fits with different seeds, told apart by ``rep`` from 1."""
-    ready = assembler(RANGE_FEATURES).transform(df).persist(StorageLevel.MEMORY_AND_DISK)
-    out = None
-    for rep in range(1, repetitions + 1):
-        model = gaussian_mixture(k, seed + rep - 1).fit(ready)
-        # Not read from the persisted copy, which is released before the result is used.
-        placed = model.transform(assembler(RANGE_FEATURES).transform(df)).select(
-            "Ticker", "Date", "prediction", F.lit(rep).alias("rep")
+    """Assignments of several fits with different seeds, told apart by ``rep`` from 1.
+
+    All models place a row in the same pass over the table.
+    """
+    ready = assembler(RANGE_FEATURES).transform(df)
+    vectors = ready.select("features").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        models = _side_by_side(
+            df.sparkSession, lambda i: gaussian_mixture(k, seed + i).fit(vectors), range(repetitions)
         )
-        out = placed if out is None else out.unionByName(placed)
-    ready.unpersist()
-    return out
+    finally:
+        vectors.unpersist()
+    placed = ready.select("Ticker", "Date", "features")
+    for i, model in enumerate(models):
+        placed = model.setPredictionCol(f"p{i}").setProbabilityCol(f"q{i}").transform(placed).drop(f"q{i}")
+    each = F.array(*[
+        F.struct(F.col(f"p{i}").alias("prediction"), F.lit(i + 1).alias("rep")) for i in range(repetitions)
+    ])
+    return placed.select("Ticker", "Date", F.inline(each))
+
+
+def label_with_both(df: DataFrame, k: int = 2, seed: int = SEED) -> DataFrame:
+    """``kmeans_cluster`` on the two prices and ``gmm_cluster`` on all five features of the same rows."""
+    first = kmeans_pipeline(k, seed).fit(df).transform(df).withColumnRenamed("prediction", "kmeans_cluster")
+    both = gmm_pipeline(k, seed).fit(df).transform(first.drop("features"))
+    return both.withColumnRenamed("prediction", "gmm_cluster").drop("features", "probability")
 
 
 # --- runs and models ------------------------------------------------------------

@@ -8,6 +8,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketlens.functions import nan_to_null
 from marketlens.schemas import BAR_ESSENTIALS, MEASURES, PRICES, quoted
@@ -18,8 +19,14 @@ def drop_missing_essentials(df: DataFrame, columns: Sequence[str] = tuple(BAR_ES
 
 
 def drop_incomplete(df: DataFrame) -> DataFrame:
-    """Rows with any null or NaN go."""
-    return df.na.drop("any")
+    """Rows with any null or NaN go; names may hold dots."""
+    present = []
+    for f in df.schema:
+        c = F.col(quoted(f.name))
+        present.append(c.isNotNull())
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            present.append(~F.isnan(c))
+    return df.filter(reduce(and_, present))
 
 
 def non_negative(df: DataFrame) -> DataFrame:

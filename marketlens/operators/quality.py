@@ -97,7 +97,7 @@ def write_suites(rules: DataFrame, path: str) -> None:
     (
         rules.groupBy(F.col("suite_name").alias("expectation_suite_name"))
         .agg(ordered.alias("expectations"))
-        .write.mode("overwrite").json(path)
+        .write.mode("overwrite").option("maxRecordsPerFile", 1).json(path)
     )
 
 

@@ -1 +1,109 @@
+"""Queries over clusters of bars and over runs."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from marketlens.operators import aggregates as agg
+from marketlens.operators import clustering, filters, joins, ordering, projections
+from marketlens.session import scratch_path
+from workloads.adapters import bars_supplier, bars_user, label_pairs, run_records, with_sql
+from workloads.registry import query
+
+# --- labels of two models -----------------------------------------------------------
+
+
+def _sides(spark, sf):
+    pairs = label_pairs(spark, sf)
+    return pairs.select("Ticker", "doc_id", "kmeans_cluster"), pairs.select("Ticker", "doc_id", "gmm_cluster")
+
+
+@query("cluster_disagreement", with_sql("SELECT * FROM label_pairs WHERE kmeans_cluster <> gmm_cluster"))
+def cluster_disagreement(spark, sf):
+    left, right = _sides(spark, sf)
+    return joins.label_differences(left, right, ["Ticker", "doc_id"])
+
+
+@query("cluster_disagreement_by_ticker", with_sql("""
+SELECT a."Ticker", a.kmeans_cluster, b.gmm_cluster, count(*) AS pairs
+FROM label_pairs a JOIN label_pairs b ON a."Ticker" = b."Ticker" AND a.kmeans_cluster <> b.gmm_cluster GROUP BY 1, 2, 3"""))
+def cluster_disagreement_by_ticker(spark, sf):
+    """Joined on the ticker alone; the pairs are counted, not listed."""
+    left, right = _sides(spark, sf)
+    return joins.label_difference_counts(left, right)
+
+
+@query("cluster_sizes", with_sql("SELECT kmeans_cluster, count(*) AS n FROM label_pairs GROUP BY 1"))
+def cluster_sizes(spark, sf):
+    return agg.cluster_sizes(label_pairs(spark, sf), "kmeans_cluster")
+
+
+@query("cluster_crosstab", with_sql("""
+SELECT "Ticker", count(*) FILTER (gmm_cluster = 0) AS cluster_0, count(*) FILTER (gmm_cluster = 1) AS cluster_1,
+       count(*) FILTER (gmm_cluster = 2) AS cluster_2 FROM label_pairs GROUP BY 1"""))
+def cluster_crosstab(spark, sf):
+    return agg.cluster_crosstab(label_pairs(spark, sf), [0, 1, 2], label="gmm_cluster")
+
+
+# --- runs -----------------------------------------------------------------------------
+
+@query("best_run", with_sql("SELECT run_id, k, silhouette FROM run_records ORDER BY silhouette DESC, k, run_id LIMIT 1"))
+def best_run(spark, sf):
+    return ordering.best_run(run_records(spark, sf), "silhouette")
+
+
+@query("run_listing", with_sql("""
+SELECT run_id, 'param' AS kind, 'k' AS name, CAST(k AS DOUBLE) AS value FROM run_records
+UNION ALL SELECT run_id, 'metric', 'silhouette', silhouette FROM run_records
+UNION ALL SELECT run_id, 'metric', 'cost', cost FROM run_records"""))
+def run_listing(spark, sf):
+    path = scratch_path(spark, "runs")
+    clustering.record_runs(run_records(spark, sf), path)
+    listed = clustering.run_listing(clustering.read_runs(spark, path))
+    return listed.withColumn("value", F.col("value").cast("double"))
+
+
+# --- fits: no SQL ---------------------------------------------------------------------
+
+def _features(spark, sf):
+    return projections.range_features(bars_supplier(spark, sf))
+
+
+@query("kmeans_assign")
+def kmeans_assign(spark, sf):
+    bars = bars_supplier(spark, sf)
+    return clustering.kmeans_pipeline(3).fit(bars).transform(bars).select("Ticker", "Date", "Open", "Close", "prediction")
+
+
+@query("gmm_assign")
+def gmm_assign(spark, sf):
+    bars = _features(spark, sf)
+    return clustering.gmm_pipeline(2).fit(bars).transform(bars).select("Ticker", "Date", "prediction")
+
+
+@query("k_by_silhouette")
+def k_by_silhouette(spark, sf):
+    return clustering.k_by_silhouette(projections.open_close(bars_supplier(spark, sf)))
+
+
+@query("k_by_cost")
+def k_by_cost(spark, sf):
+    return clustering.k_by_cost(projections.open_close(bars_supplier(spark, sf)))
+
+
+@query("k_by_loglik")
+def k_by_loglik(spark, sf):
+    return clustering.k_by_loglik(projections.open_close(bars_supplier(spark, sf)))
+
+
+@query("gmm_repeat")
+def gmm_repeat(spark, sf):
+    return clustering.gmm_repeat(projections.range_features(bars_user(spark, sf)))
+
+
+@query("gmm_kmeans_differences")
+def gmm_kmeans_differences(spark, sf):
+    """Both models on the same bars, labels aligned, rows they place differently."""
+    both = clustering.label_with_both(_features(spark, sf)).select("Ticker", "Date", "kmeans_cluster", "gmm_cluster")
+    aligned = joins.align_labels(both, "gmm_cluster", "kmeans_cluster")
+    return filters.distinct_labels(aligned, "kmeans_cluster", "gmm_cluster")
