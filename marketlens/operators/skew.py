@@ -18,6 +18,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from marketlens.schemas import quoted
+
 ROWS_PER_SLICE = 4_000_000
 _OVERSAMPLE = 32
 _SEARCH_STEPS = [1 << s for s in range(19, -1, -1)]
@@ -34,15 +36,15 @@ def cut_points(df: DataFrame, key: Sequence[str], order: Sequence[str], rows_per
     retried task sees the same cuts.  The sample only places the cuts; no row
     depends on it for its result.
     """
-    sizes = df.groupBy(*key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > rows_per_slice)
     share = min(1.0, _OVERSAMPLE / rows_per_slice)
     picked = F.shiftrightunsigned(F.xxhash64(*key, *order), 33) < F.lit(int(share * 2**31))
     every = F.lit(_OVERSAMPLE)
+    sample = df.select(*key, *order).filter(picked)
+    if key:
+        sizes = df.groupBy(*key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > rows_per_slice)
+        sample = sample.join(F.broadcast(sizes.select(*key)), list(key))
     return (
-        df.select(*key, *order)
-        .filter(picked)
-        .join(F.broadcast(sizes.select(*key)), list(key))
-        .groupBy(*key)
+        sample.groupBy(*key)
         .agg(F.array_sort(F.collect_set(_point(order))).alias("__points"))
         .select(*key, F.filter("__points", lambda _, i: (i + 1) % every == 0).alias("__cuts"))
     )
@@ -61,9 +63,12 @@ def _slice_number(order: Sequence[str]) -> Column:
 
 
 def with_slices(df: DataFrame, cuts: DataFrame, key: Sequence[str], order: Sequence[str], heavy_only: bool = False) -> DataFrame:
-    """Add ``__slice``; 0 for every row of a light key."""
-    joined = df.join(F.broadcast(cuts), list(key), "inner" if heavy_only else "left")
-    return joined.withColumn("__slice", _slice_number(order)).select(*df.columns, "__slice")
+    """Add ``__slice``; 0 for every row of a light key.  Without a key the whole table is cut."""
+    if key:
+        joined = df.join(F.broadcast(cuts), list(key), "inner" if heavy_only else "left")
+    else:
+        joined = df.withColumn("__cuts", cuts.scalar())
+    return joined.withColumn("__slice", _slice_number(order)).select(*map(quoted, df.columns), "__slice")
 
 
 def ordered_window(
@@ -93,7 +98,7 @@ def ordered_window(
         tails.select(
             "__slice",
             F.lag("__slice").over(along).alias("__before"),
-            F.collect_list(F.struct(*columns)).over(along.rowsBetween(-lookback, -1)).alias("__rows"),
+            F.collect_list(F.struct(*map(quoted, columns))).over(along.rowsBetween(-lookback, -1)).alias("__rows"),
         )
         .filter(F.col("__before") < F.col("__slice"))
         .select("__slice", F.inline("__rows"))
@@ -104,7 +109,7 @@ def ordered_window(
     made = build(window)
     kept = [c for c in columns if c not in made]
     return (
-        rows.select(*kept, "__halo", *[c.alias(n) for n, c in made.items()])
+        rows.select(*map(quoted, kept), "__halo", *[c.alias(n) for n, c in made.items()])
         .filter(~F.col("__halo"))
         .drop("__halo")
     )
@@ -118,7 +123,7 @@ def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column], n:
     second step sees at most ``salts * n`` rows of a key.
     """
     if n > 1000:
-        salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts))
+        salt = F.pmod(F.xxhash64(*map(quoted, df.columns)), F.lit(salts))
         spread = Window.partitionBy(*key, "__salt").orderBy(*order)
         df = (
             df.withColumn("__salt", salt)
@@ -163,7 +168,7 @@ def ranked(
         .withColumn("__whole", F.sum(weigh).over(within))
         .join(F.broadcast(offsets), [*key, "__slice"], "left")
         .select(
-            *df.columns,
+            *map(quoted, df.columns),
             (F.coalesce("__offset", F.lit(0)) + F.col("__upto")).alias("__rank"),
             F.coalesce("__total", "__whole").alias("__size"),
         )
@@ -172,8 +177,7 @@ def ranked(
 
 def row_index(df: DataFrame, order: Sequence[str], name: str, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """Consecutive numbers from 0 over the whole table, in the given total order."""
-    whole = df.withColumn("__all", F.lit(0))
-    return ranked(whole, ["__all"], order, rows_per_slice).select(*df.columns, (F.col("__rank") - 1).alias(name))
+    return ranked(df, [], order, rows_per_slice).select(*map(quoted, df.columns), (F.col("__rank") - 1).alias(name))
 
 
 def interpolated_quantiles(

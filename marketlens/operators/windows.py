@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from marketlens.functions import day_name, friday_label, percent_change, ratio_return
 from marketlens.operators.skew import ROWS_PER_SLICE, ordered_window
+from marketlens.schemas import quoted
 
 
 def _over_ticker(
@@ -101,6 +102,24 @@ def deficiency_notice(
     )
 
 
+def deficiency_notice_wide(
+    df: DataFrame,
+    column: str = "UNI",
+    date: str = "Dia",
+    threshold: float = 1.0,
+    frame: int = 31,
+    min_hits: int = 30,
+    rows_per_slice: int = ROWS_PER_SLICE,
+) -> DataFrame:
+    """The alert on one column of a wide table, as ``Deficiency Notice <column>``."""
+    below = F.when(F.col(quoted(column)).try_cast("double") < threshold, 1).otherwise(0)
+    return ordered_window(
+        df, [], [date], frame - 1,
+        lambda w: {f"Deficiency Notice {column}": F.sum(below).over(w.rowsBetween(-(frame - 1), 0)) >= min_hits},
+        rows_per_slice,
+    )
+
+
 def chart_series(df: DataFrame, order: Sequence[str] = ("EventTS",), window: int = 10, daily: bool = False) -> DataFrame:
     """What a price chart draws: close, low-high band, moving average, volume with gaps as 0."""
     shown = ["Ticker", "Close", "Low", "High", "SMA"]

@@ -33,19 +33,16 @@ def read_declared_csv(spark: SparkSession, path: str, schema: T.StructType | Non
     )
 
 
-def _with_corrupt(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
-
-
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType = TICK_TEXT_SCHEMA) -> DataFrame:
     """JSON lines; blank and malformed ones are skipped."""
-    return spark.read.schema(_with_corrupt(schema)).json(path).filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
 
 
 def read_malformed_lines(spark: SparkSession, path: str, schema: T.StructType = TICK_TEXT_SCHEMA) -> DataFrame:
-    """The lines ``read_json_lines`` skips."""
+    """The lines ``read_json_lines`` skips, blank ones aside."""
     lines = spark.read.text(path).filter(F.trim("value") != "")
-    parsed = F.from_json("value", _with_corrupt(schema), {"columnNameOfCorruptRecord": CORRUPT})
+    checked = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
+    parsed = F.from_json("value", checked, {"columnNameOfCorruptRecord": CORRUPT})
     return lines.filter(parsed[CORRUPT].isNotNull()).select(F.col("value").alias("line"))
 
 

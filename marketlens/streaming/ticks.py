@@ -12,17 +12,16 @@ from pyspark.sql.streaming import StreamingQuery
 from marketlens.operators.joins import latest_quote
 from marketlens.operators.projections import map_ticks
 from marketlens.schemas import TICK_TEXT_SCHEMA
-from marketlens.sources.readers import CORRUPT
 
 
 def read_tick_stream(
     spark: SparkSession, path: str, schema: T.StructType = TICK_TEXT_SCHEMA, files_per_batch: int | None = None
 ) -> DataFrame:
     """JSON lines from files that arrive in a folder; malformed lines are skipped."""
-    reader = spark.readStream.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
+    reader = spark.readStream.schema(schema).option("mode", "DROPMALFORMED")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.json(path).filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return reader.json(path)
 
 
 def tick_batch_writer(
