@@ -50,19 +50,26 @@ def silhouette(predictions: DataFrame) -> float:
 
 
 def _sweep(
-    df: DataFrame, features: Sequence[str], ks: Sequence[int], score: Callable[[DataFrame, int], dict[str, float]]
+    df: DataFrame, features: Sequence[str], ks: Sequence[int], score: Callable[[DataFrame, int], dict[str, float]],
+    parallelism: int,
 ) -> list[tuple[int, dict[str, float]]]:
-    """Score every ``k`` over vectors that are assembled once and spill to disk if they must."""
-    vectors = assembler(features).transform(df).select("features").persist(StorageLevel.MEMORY_AND_DISK)
+    """Score every ``k`` over one stored copy of the feature columns.
+
+    Plain numbers are stored rather than vectors, which are larger and slow to read
+    back; the copy spills to disk if it must.  A fit keeps vectors of its own while it
+    runs, so ``parallelism`` bounds how many such copies exist at a time.
+    """
+    numbers = df.select(*features).persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = assembler(features).transform(numbers).select("features")
     try:
-        return list(zip(ks, _side_by_side(df.sparkSession, lambda k: score(vectors, k), ks)))
+        return list(zip(ks, _side_by_side(df.sparkSession, lambda k: score(vectors, k), ks, parallelism)))
     finally:
-        vectors.unpersist()
+        numbers.unpersist()
 
 
-def _side_by_side(spark: SparkSession, fit: Callable, inputs: Sequence) -> list:
-    """Independent fits as concurrent jobs, so that small iterations do not wait for each other."""
-    with ThreadPoolExecutor(max_workers=max(1, len(inputs))) as pool:
+def _side_by_side(spark: SparkSession, fit: Callable, inputs: Sequence, parallelism: int) -> list:
+    """Independent fits as concurrent jobs, so that short iterations do not wait for each other."""
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
         return list(pool.map(inheritable_thread_target(spark)(fit), inputs))
 
 
@@ -72,17 +79,19 @@ def _runs(spark: SparkSession, scored: list[tuple[int, dict[str, float]]], seed:
 
 
 def k_by_silhouette(
-    df: DataFrame, ks: Sequence[int] = (2, 3, 4, 5), seed: int = SEED, features: Sequence[str] = PRICE_FEATURES
+    df: DataFrame, ks: Sequence[int] = (2, 3, 4, 5), seed: int = SEED, features: Sequence[str] = PRICE_FEATURES,
+    parallelism: int = 2,
 ) -> DataFrame:
     """Runs of k-means with their silhouette; ``best_run(runs, "silhouette")`` picks one."""
     def score(vectors: DataFrame, k: int) -> dict[str, float]:
         return {"silhouette": silhouette(kmeans(k, seed).fit(vectors).transform(vectors))}
 
-    return _runs(df.sparkSession, _sweep(df, features, ks, score), seed)
+    return _runs(df.sparkSession, _sweep(df, features, ks, score, parallelism), seed)
 
 
 def k_by_cost(
-    df: DataFrame, ks: Sequence[int] = (2, 3, 4, 5, 6), seed: int = SEED, features: Sequence[str] = PRICE_FEATURES
+    df: DataFrame, ks: Sequence[int] = (2, 3, 4, 5, 6), seed: int = SEED, features: Sequence[str] = PRICE_FEATURES,
+    parallelism: int = 2,
 ) -> DataFrame:
     """Runs with training cost and its negative, ``score``; the lowest cost is the best run.
 
@@ -93,35 +102,39 @@ def k_by_cost(
         cost = float(kmeans(k, seed).fit(vectors).summary.trainingCost)
         return {"cost": cost, "score": -cost}
 
-    scored = _sweep(df, features, ks, score)
+    scored = _sweep(df, features, ks, score, parallelism)
     for (_, before), (_, after) in zip(scored, scored[1:]):
         after["elbow_gain"] = before["cost"] - after["cost"]
     return _runs(df.sparkSession, scored, seed)
 
 
 def k_by_loglik(
-    df: DataFrame, ks: Sequence[int] = (2, 3, 4, 5, 6), seed: int = SEED, features: Sequence[str] = PRICE_FEATURES
+    df: DataFrame, ks: Sequence[int] = (2, 3, 4, 5, 6), seed: int = SEED, features: Sequence[str] = PRICE_FEATURES,
+    parallelism: int = 2,
 ) -> DataFrame:
     """Runs of the Gaussian mixture with their log-likelihood; the highest is the best run."""
     def score(vectors: DataFrame, k: int) -> dict[str, float]:
         return {"log_likelihood": float(gaussian_mixture(k, seed).fit(vectors).summary.logLikelihood)}
 
-    return _runs(df.sparkSession, _sweep(df, features, ks, score), seed)
+    return _runs(df.sparkSession, _sweep(df, features, ks, score, parallelism), seed)
 
 
-def gmm_repeat(df: DataFrame, repetitions: int = 5, k: int = 2, seed: int = SEED) -> DataFrame:
+def gmm_repeat(
+    df: DataFrame, repetitions: int = 5, k: int = 2, seed: int = SEED, parallelism: int = 2
+) -> DataFrame:
     """Assignments of several fits with different seeds, told apart by ``rep`` from 1.
 
     All models place a row in the same pass over the table.
     """
-    ready = assembler(RANGE_FEATURES).transform(df)
-    vectors = ready.select("features").persist(StorageLevel.MEMORY_AND_DISK)
+    numbers = df.select(*RANGE_FEATURES).persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = assembler(RANGE_FEATURES).transform(numbers).select("features")
     try:
         models = _side_by_side(
-            df.sparkSession, lambda i: gaussian_mixture(k, seed + i).fit(vectors), range(repetitions)
+            df.sparkSession, lambda i: gaussian_mixture(k, seed + i).fit(vectors), range(repetitions), parallelism
         )
     finally:
-        vectors.unpersist()
+        numbers.unpersist()
+    ready = assembler(RANGE_FEATURES).transform(df)
     placed = ready.select("Ticker", "Date", "features")
     for i, model in enumerate(models):
         placed = model.setPredictionCol(f"p{i}").setProbabilityCol(f"q{i}").transform(placed).drop(f"q{i}")

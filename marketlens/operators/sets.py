@@ -8,34 +8,36 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.schemas import BAR_COLUMNS
+from marketlens.schemas import BAR_COLUMNS, quoted
 
 
 def union_bars(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def dedup_bars(
-    df: DataFrame, key: Sequence[str] = ("Ticker", "Date"), prefer: Sequence[Column] = ()
-) -> DataFrame:
-    """One row per key: the one with the largest ``prefer`` values, then the largest row.
+def dedup_bars(df: DataFrame, key: Sequence[str] = ("Ticker", "Date"), rank: Column | None = None) -> DataFrame:
+    """One whole row per key: the one with the largest ``rank``, a number that is never null.
 
-    A grouped maximum is combined before the shuffle, so any number of copies of
-    one key leaves each task as a single row.
+    Without a rank a digest of the row decides, so the choice does not depend on how
+    the rows are split.  All columns follow the same maximum and hence come from the
+    same row.  Number-valued columns are combined in hash tables before the shuffle:
+    any number of copies of one key leaves a task as a single row.
     """
-    key, rest = list(key), [c for c in df.columns if c not in key]
-    ranks = [p.alias(f"__p{i}") for i, p in enumerate(prefer)]
-    # A zone-less timestamp or a double orders as one expects; null orders first.
-    best = df.groupBy(*key).agg(F.max(F.struct(*ranks, *rest)).alias("__row"))
-    return best.select(*[F.col(c) if c in key else F.col(f"__row.`{c}`").alias(c) for c in df.columns])
+    order = rank if rank is not None else F.xxhash64(*map(quoted, df.columns))
+    rest = [c for c in df.columns if c not in key]
+    best = [F.max_by(quoted(c), "__rank").alias(c) for c in rest]
+    return df.withColumn("__rank", order).groupBy(*key).agg(*best).select(*map(quoted, df.columns))
 
 
 def merge_history(stored: DataFrame, new: DataFrame, prefer_new: bool = True) -> DataFrame:
     """Stored and new bars, one per ``(Ticker, Date)``; new ones win unless told otherwise."""
     columns = [c for c in BAR_COLUMNS if c in stored.columns]
 
-    def tagged(df: DataFrame, rank: int) -> DataFrame:
-        return df.select(*columns).withColumn("Date", F.col("Date").cast("date")).withColumn("__source", F.lit(rank))
+    def ranked(df: DataFrame, first: bool) -> DataFrame:
+        dated = df.select(*columns).withColumn("Date", F.col("Date").cast("date"))
+        # The preferred side ranks above the other; within a side the digest decides.
+        digest = F.shiftrightunsigned(F.xxhash64(*columns), 2)
+        return dated.withColumn("__side", digest + F.lit(2**62) if first else digest)
 
-    both = tagged(stored, 0 if prefer_new else 1).unionByName(tagged(new, 1 if prefer_new else 0))
-    return dedup_bars(both, prefer=[F.col("__source")]).select(*columns)
+    both = ranked(stored, not prefer_new).unionByName(ranked(new, prefer_new))
+    return dedup_bars(both, rank=F.col("__side")).select(*columns)

@@ -44,17 +44,17 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def _event_bars(events: DataFrame, ticker: Column) -> DataFrame:
     return events.groupBy(ticker.alias("Ticker"), F.to_date("ts").alias("Date")).agg(
-        F.min(F.struct("ts", "value"))["value"].alias("Open"),
+        F.min_by("value", "ts").alias("Open"),
         F.max("value").alias("High"),
         F.min("value").alias("Low"),
-        F.max(F.struct("ts", "value"))["value"].alias("Close"),
+        F.max_by("value", "ts").alias("Close"),
         F.count(F.lit(1)).cast("double").alias("Volume"),
     ).select("Date", "Open", "High", "Low", "Close", "Volume", "Ticker")
 
 
 _EVENT_SQL = """
-SELECT CAST(ts AS DATE) AS "Date", first(value ORDER BY ts, value) AS "Open", max(value) AS "High",
-       min(value) AS "Low", last(value ORDER BY ts, value) AS "Close", CAST(count(*) AS DOUBLE) AS "Volume",
+SELECT CAST(ts AS DATE) AS "Date", first(value ORDER BY ts) AS "Open", max(value) AS "High",
+       min(value) AS "Low", last(value ORDER BY ts) AS "Close", CAST(count(*) AS DOUBLE) AS "Volume",
        {ticker} AS "Ticker"
 FROM events GROUP BY {ticker}, CAST(ts AS DATE)"""
 
@@ -73,17 +73,21 @@ def bars_user(spark: SparkSession, sf: str) -> DataFrame:
 SQL["bars_user"] = _EVENT_SQL.format(ticker="('U' || user_id)")
 
 
+def line_number() -> Column:
+    """Order of the lines as one number; order and line number alone repeat."""
+    return (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 2**24 + F.col("l_partkey")
+
+
 def bars_supplier(spark: SparkSession, sf: str) -> DataFrame:
-    """Daily bars per supplier; first and last trade by the whole line, which makes the order total."""
-    line = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    """Daily bars per supplier, from the first to the last line of the day."""
+    lines = table(spark, sf, "lineitem").withColumn("line", line_number())
     return (
-        table(spark, sf, "lineitem")
-        .groupBy(F.concat(F.lit("S"), F.col("l_suppkey")).alias("Ticker"), F.to_date("l_shipdate").alias("Date"))
+        lines.groupBy(F.concat(F.lit("S"), F.col("l_suppkey")).alias("Ticker"), F.to_date("l_shipdate").alias("Date"))
         .agg(
-            F.min(line)["l_extendedprice"].alias("Open"),
+            F.min_by("l_extendedprice", "line").alias("Open"),
             F.max("l_extendedprice").alias("High"),
             F.min("l_extendedprice").alias("Low"),
-            F.max(line)["l_extendedprice"].alias("Close"),
+            F.max_by("l_extendedprice", "line").alias("Close"),
             F.sum("l_quantity").alias("Volume"),
         )
         .select("Date", "Open", "High", "Low", "Close", "Volume", "Ticker")
@@ -92,9 +96,9 @@ def bars_supplier(spark: SparkSession, sf: str) -> DataFrame:
 
 SQL["bars_supplier"] = """
 SELECT CAST(l_shipdate AS DATE) AS "Date",
-       first(l_extendedprice ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice) AS "Open",
+       first(l_extendedprice ORDER BY l_orderkey, l_linenumber, l_partkey) AS "Open",
        max(l_extendedprice) AS "High", min(l_extendedprice) AS "Low",
-       last(l_extendedprice ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice) AS "Close",
+       last(l_extendedprice ORDER BY l_orderkey, l_linenumber, l_partkey) AS "Close",
        sum(l_quantity) AS "Volume", 'S' || l_suppkey AS "Ticker"
 FROM lineitem GROUP BY 'S' || l_suppkey, CAST(l_shipdate AS DATE)"""
 
@@ -142,8 +146,8 @@ SELECT strftime("Date", '%d/%m/%Y') AS "Fecha", """ + ", ".join(
 FROM closes_long GROUP BY 1"""
 
 
-def raw_bars(spark: SparkSession, sf: str) -> DataFrame:
-    """One bar per order line with negative, missing and incoherent values among them."""
+def raw_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """One bar per order line, numbered, with negative, missing and incoherent values among them."""
     price = F.col("l_extendedprice")
     return table(spark, sf, "lineitem").select(
         F.to_date("l_shipdate").alias("Date"),
@@ -153,19 +157,29 @@ def raw_bars(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("l_partkey") % 97 != 0, price * (1 + 2 * F.col("l_tax") - F.col("l_discount"))).alias("Close"),
         F.when(F.col("l_partkey") % 89 != 0, F.col("l_quantity")).alias("Volume"),
         F.concat(F.lit("S"), F.col("l_suppkey")).alias("Ticker"),
+        line_number().alias("Line"),
     )
 
 
-SQL["raw_bars"] = """
+def raw_bars(spark: SparkSession, sf: str) -> DataFrame:
+    return raw_lines(spark, sf).drop("Line")
+
+
+SQL["raw_lines"] = """
 SELECT CAST(l_shipdate AS DATE) AS "Date",
        CASE WHEN l_partkey % 83 = 0 THEN -l_extendedprice ELSE l_extendedprice END AS "Open",
        l_extendedprice * (1 + l_tax) AS "High", l_extendedprice * (1 - l_discount) AS "Low",
        CASE WHEN l_partkey % 97 <> 0 THEN l_extendedprice * (1 + 2 * l_tax - l_discount) END AS "Close",
-       CASE WHEN l_partkey % 89 <> 0 THEN l_quantity END AS "Volume", 'S' || l_suppkey AS "Ticker"
+       CASE WHEN l_partkey % 89 <> 0 THEN l_quantity END AS "Volume", 'S' || l_suppkey AS "Ticker",
+       (l_orderkey * 8 + l_linenumber) * 16777216 + l_partkey AS "Line"
 FROM lineitem"""
 
-SQL["valid_bars"] = """
-SELECT * FROM raw_bars
+SQL["raw_bars"] = 'SELECT * EXCLUDE "Line" FROM raw_lines'
+
+SQL["valid_bars"] = 'SELECT * EXCLUDE "Line" FROM valid_lines'
+
+SQL["valid_lines"] = """
+SELECT * FROM raw_lines
 WHERE "Date" IS NOT NULL AND "Ticker" IS NOT NULL AND "Open" >= 0 AND "High" >= 0 AND "Low" >= 0 AND "Close" >= 0
   AND ("Volume" >= 0 OR "Volume" IS NULL) AND "High" >= "Low" AND "Close" BETWEEN "Low" AND "High\""""
 

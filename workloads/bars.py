@@ -8,7 +8,7 @@ from marketlens import functions as fn
 from marketlens.operators import aggregates as agg
 from marketlens.operators import filters, joins, ordering, projections, sets, windows
 from workloads.adapters import (
-    NAMES, THRESHOLD, bars_supplier, bars_type, bars_user, closes_long, raw_bars, stored_bars, table, with_sql,
+    NAMES, THRESHOLD, bars_supplier, bars_type, bars_user, closes_long, raw_bars, raw_lines, stored_bars, table, with_sql,
 )
 from workloads.registry import query
 
@@ -16,9 +16,8 @@ from workloads.registry import query
 
 FRIDAY_SQL = with_sql("""
 WITH kept AS (
-  SELECT "Ticker", "Date", "Close" FROM valid_bars
-  QUALIFY row_number() OVER (PARTITION BY "Ticker", "Date"
-    ORDER BY "Open" DESC, "High" DESC, "Low" DESC, "Close" DESC, "Volume" DESC NULLS LAST) = 1),
+  SELECT "Ticker", "Date", "Close" FROM valid_lines
+  QUALIFY row_number() OVER (PARTITION BY "Ticker", "Date" ORDER BY "Line" DESC) = 1),
 r AS (SELECT *, lag("Close") OVER (PARTITION BY "Ticker" ORDER BY "Date") AS prev FROM kept)
 SELECT "Date", "Ticker", "Close", ("Close" - prev) / nullif(prev, 0) * 100.0 AS "Return", dayname("Date") AS "DayOfWeek",
        CASE WHEN dayname("Date") = 'Friday' THEN 'Friday' ELSE 'Weekday' END AS "IsFriday"
@@ -28,7 +27,7 @@ FROM r WHERE prev IS NOT NULL AND prev <> 0""")
 @query("friday_effect", FRIDAY_SQL)
 def friday_effect(spark, sf):
     """Raw bars, validated and made unique per day, to returns with the day of the week."""
-    clean = sets.dedup_bars(filters.clean_and_validate(raw_bars(spark, sf)))
+    clean = sets.dedup_bars(filters.clean_and_validate(raw_lines(spark, sf)), rank=F.col("Line"))
     return windows.friday_effect(clean, daily=True)
 
 
@@ -330,7 +329,6 @@ def concat_bars(spark, sf):
 
 
 @query("dedup_bars", with_sql("""
-SELECT * FROM raw_bars QUALIFY row_number() OVER (PARTITION BY "Ticker", "Date"
-  ORDER BY "Open" DESC NULLS LAST, "High" DESC NULLS LAST, "Low" DESC NULLS LAST, "Close" DESC NULLS LAST, "Volume" DESC NULLS LAST) = 1"""))
+SELECT * FROM raw_lines QUALIFY row_number() OVER (PARTITION BY "Ticker", "Date" ORDER BY "Line" DESC) = 1"""))
 def dedup_bars(spark, sf):
-    return sets.dedup_bars(raw_bars(spark, sf))
+    return sets.dedup_bars(raw_lines(spark, sf), rank=F.col("Line"))
