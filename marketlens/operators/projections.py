@@ -227,7 +227,8 @@ def derive_event_ts(df: DataFrame, order: Sequence[str] | None = None, rows_per_
     if order is None or (source and not stamped.filter(F.col("EventTS").isNotNull()).isEmpty()):
         return stamped
     numbered = row_index(df, order, "__i", rows_per_slice)
-    return numbered.select(F.timestamp_seconds("__i").cast("timestamp_ntz").alias("EventTS"), *rest)
+    start = F.lit("1970-01-01").cast("timestamp_ntz")
+    return numbered.select((start + F.make_dt_interval(secs=F.col("__i"))).alias("EventTS"), *rest)
 
 
 def normalize_any(df: DataFrame, order: Sequence[str] | None = None, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:

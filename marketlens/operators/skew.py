@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from marketlens.schemas import quoted
 
-ROWS_PER_SLICE = 4_000_000
-_OVERSAMPLE = 32
+ROWS_PER_SLICE = 8_000_000
+_OVERSAMPLE = 16
 _SEARCH_STEPS = [1 << s for s in range(19, -1, -1)]
 
 

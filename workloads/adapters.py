@@ -104,15 +104,19 @@ FROM lineitem GROUP BY 'S' || l_suppkey, CAST(l_shipdate AS DATE)"""
 
 
 def stored_bars(spark: SparkSession, sf: str) -> DataFrame:
-    """A stored history: half of the suppliers, at prices one higher."""
-    bars = bars_supplier(spark, sf).filter(F.substring("Ticker", 2, 20).cast("bigint") % 2 == 0)
-    return bars.withColumns({c: F.col(c) + 1 for c in ("Open", "High", "Low", "Close")})
+    """A stored history: the suppliers with a balance below 5000, at prices one higher."""
+    small = table(spark, sf, "supplier").filter(F.col("s_acctbal") < 5000)
+    known = small.select(F.concat(F.lit("S"), F.col("s_suppkey")).alias("Ticker"))
+    bars = bars_supplier(spark, sf).join(known, "Ticker", "left_semi")
+    return bars.select(
+        "Date", *[(F.col(c) + 1).alias(c) for c in ("Open", "High", "Low", "Close")], "Volume", "Ticker"
+    )
 
 
 SQL["stored_bars"] = """
 SELECT "Date", "Open" + 1 AS "Open", "High" + 1 AS "High", "Low" + 1 AS "Low", "Close" + 1 AS "Close",
        "Volume", "Ticker"
-FROM bars_supplier WHERE CAST(substr("Ticker", 2) AS BIGINT) % 2 = 0"""
+FROM bars_supplier WHERE "Ticker" IN (SELECT 'S' || s_suppkey FROM supplier WHERE s_acctbal < 5000)"""
 
 
 def closes_long(spark: SparkSession, sf: str) -> DataFrame:
@@ -213,11 +217,11 @@ FROM events"""
 
 
 def tick_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """One JSON line per tick; the broken ones are cut in the middle."""
+    """One JSON line per tick; the broken ones lack the closing brace."""
     fields = tick_fields(spark, sf)
     line = F.to_json(F.struct("ticker", "price", "high", "low", "volume", "ts"))
-    cut = F.col("event_id") % 103 == 0
-    return fields.select(F.when(cut, F.substring(line, 1, 25)).otherwise(line).alias("value"))
+    broken = F.col("event_id") % 103 == 0
+    return fields.select(F.when(broken, F.rtrim(line, F.lit("}"))).otherwise(line).alias("value"))
 
 
 SQL["good_ticks"] = "SELECT * FROM tick_fields WHERE event_id % 103 <> 0"

@@ -30,7 +30,8 @@ def json_ingest(spark, sf):
 
 
 @query("json_quarantine", with_sql("""
-SELECT substr('{"ticker":"' || ticker || '","price":"' || price || '"', 1, 25) AS line FROM tick_fields WHERE event_id % 103 = 0"""))
+SELECT '{"ticker":"' || ticker || '","price":"' || price || '","high":"' || high || '","low":"' || low || '","volume":"' || volume
+  || '","ts":"' || strftime(tick_ts, '%Y-%m-%d %H:%M:%S.%f') || '"' AS line FROM tick_fields WHERE event_id % 103 = 0"""))
 def json_quarantine(spark, sf):
     return readers.read_malformed_lines(spark, _tick_folder(spark, sf))
 

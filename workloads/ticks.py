@@ -19,7 +19,7 @@ TIMED_SCHEMA = T.StructType([*TICK_TEXT_SCHEMA.fields, T.StructField("ts", T.Str
 
 
 def _clock():
-    return F.try_to_timestamp("ts").cast("timestamp_ntz")
+    return F.col("ts").try_cast("timestamp_ntz")
 
 
 def bars_sql(source: str, rate: str) -> str:
