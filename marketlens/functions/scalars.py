@@ -22,8 +22,8 @@ def lenient_double(text: Column) -> Column:
     """Text to double; blanks, ``"null"`` in any case, NaN and junk become null."""
     t = F.lower(F.trim(text))
     # The JVM also reads 1.5d, 1.5f and hexadecimal floats as numbers; plain text does not mean those.
-    number = F.when((t != "null") & ~t.rlike("x|[0-9.][df]$"), t.try_cast("double"))
-    return nan_to_null(number)
+    foreign = F.endswith(t, F.lit("d")) | (F.endswith(t, F.lit("f")) & ~F.endswith(t, F.lit("inf"))) | F.contains(t, F.lit("x"))
+    return nan_to_null(F.when(~foreign, text.try_cast("double")))
 
 
 def lenient_int(text: Column) -> Column:
@@ -32,7 +32,7 @@ def lenient_int(text: Column) -> Column:
 
 
 def nan_to_null(x: Column) -> Column:
-    return F.when(~F.isnan(x), x)
+    return F.nullif(x, F.lit(float("nan")))
 
 
 def as_double(df: DataFrame, name: str) -> Column:

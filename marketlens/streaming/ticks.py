@@ -42,11 +42,12 @@ def tick_batch_writer(
             seen, F.count(F.lit(1)).alias("rows"), F.max("EURUSD").alias("eurusd"), F.max("EventTS").alias("last_ts")
         )
         rows.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
-        spark = batch.sparkSession
-        counted = spark.createDataFrame(
-            [(seen.get["rows"], seen.get["eurusd"], seen.get["last_ts"])], "rows bigint, eurusd double, last_ts timestamp"
+        counted = batch.sparkSession.range(1, numPartitions=1).select(
+            F.lit(seen.get["rows"]).cast("bigint").alias("rows"),
+            F.lit(seen.get["eurusd"]).cast("double").alias("eurusd"),
+            F.lit(seen.get["last_ts"]).cast("timestamp").alias("last_ts"),
         )
-        counted.coalesce(1).write.mode("overwrite").parquet(f"{metrics}/batch_id={batch_id}")
+        counted.write.mode("overwrite").parquet(f"{metrics}/batch_id={batch_id}")
 
     return write
 
