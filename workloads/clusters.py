@@ -75,6 +75,23 @@ def kmeans_assign(spark, sf):
     return clustering.kmeans_pipeline(3).fit(bars).transform(bars).select("Ticker", "Date", "Open", "Close", "prediction")
 
 
+@query("kmeans_nearest", with_sql("SELECT count(*) AS rows, 0 AS misplaced, 3 AS clusters FROM bars_supplier"))
+def kmeans_nearest(spark, sf):
+    """Every row is measured against all centres; none may lie nearer than its own."""
+    bars = bars_supplier(spark, sf)
+    model = clustering.kmeans_pipeline(3).fit(bars)
+    gaps = F.array(*[
+        F.pow(F.col("Open") - float(a), F.lit(2.0)) + F.pow(F.col("Close") - float(b), F.lit(2.0))
+        for a, b in model.stages[-1].clusterCenters()
+    ])
+    placed = model.transform(bars).select(F.get(gaps, F.col("prediction")).alias("own"), F.array_min(gaps).alias("least"), "prediction")
+    return placed.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("own") > F.col("least") * (1 + 1e-9)).alias("misplaced"),
+        F.count_distinct("prediction").alias("clusters"),
+    )
+
+
 @query("gmm_assign")
 def gmm_assign(spark, sf):
     bars = _features(spark, sf)
