@@ -56,9 +56,9 @@ def friday_returns(spark: SparkSession, table: str) -> dict[str, DataFrame]:
     return {
         "returns": returns,
         "histogram": agg.return_histogram(returns),
-        "box": agg.return_box(returns),
-        "outliers": agg.box_outliers(returns),
-        "violin": agg.return_violin(returns),
+        "box": agg.return_box(returns, daily=True),
+        "outliers": agg.box_outliers(returns, daily=True),
+        "violin": agg.return_violin(returns, daily=True),
     }
 
 

@@ -38,11 +38,12 @@ def store_new_tickers(bars: DataFrame, path: str) -> None:
     write_bars(new_tickers(bars, read_bars(bars.sparkSession, path, ["Ticker"])), path, "append")
 
 
-def update_history(new: DataFrame, path: str) -> None:
+def update_history(new: DataFrame, path: str, staged: str | None = None) -> str:
     """Merge new bars into the stored table; only the years they touch are rewritten.
 
-    The merged years are written to the scratch folder first.  A job that dies
-    while it replaces folders can be run again: the merge gives the same rows.
+    The merged years are written to ``staged`` (by default in the scratch folder) first
+    and returned as a path.  Lost executors only repeat tasks.  Should the driver end
+    while folders are being replaced, ``publish_staged`` finishes the work.
     """
     spark = new.sparkSession
     stored = read_parquet_or_none(spark, path)
@@ -51,9 +52,15 @@ def update_history(new: DataFrame, path: str) -> None:
         merged = merge_history(stored.filter(F.col("year").isin(years)), new)
     else:
         merged = merge_history(new.limit(0), new)
-    staged = scratch_path(spark, "history")
+    staged = staged or scratch_path(spark, "history")
     merged.write.parquet(staged)
-    write_bars(spark.read.schema(merged.schema).parquet(staged), path)
+    publish_staged(spark, staged, path)
+    return staged
+
+
+def publish_staged(spark: SparkSession, staged: str, path: str) -> None:
+    """Replace the years of a table by merged ones; doing it twice changes nothing."""
+    write_bars(spark.read.parquet(staged), path)
 
 
 def write_replacing(df: DataFrame, path: str, key: str) -> None:

@@ -215,6 +215,7 @@ def test_histogram_edges(spark):
 def test_box_whiskers_and_outliers(spark):
     df = returns(spark, [1.0, 2.0, 3.0, 4.0, 100.0])
     row = agg.return_box(df).first()
+    assert row == agg.return_box(df, daily=True).first()
     assert (row["q1"], row["median"], row["q3"]) == (2.0, 3.0, 4.0)
     assert (row["whisker_low"], row["whisker_high"], row["outliers"], row["n"]) == (1.0, 4.0, 1, 5)
     assert column(agg.box_outliers(df), "Return") == [100.0]

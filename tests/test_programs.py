@@ -80,6 +80,9 @@ def test_history_program(spark, sf):
     assert [r["Ticker"] for r in out["missing"].collect()] == ["GONE"]
     assert out["head"].count() == 5 and out["head_per_ticker"].count() == 15
     before = rows(out["history"])
+    staged = writers.update_history(out["history"], table, scratch_path(spark, "staged"))
+    writers.publish_staged(spark, staged, table)
+    assert rows(readers.read_bars(spark, table)) == before
     again = bar_plan.update(spark, feed, table, wanted, "1995-01-01", "1999-01-01")
     assert rows(again["history"]) == before
     later = bar_plan.update(spark, feed, table, wanted, "1999-01-01", "2003-01-01")

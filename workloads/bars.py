@@ -244,7 +244,7 @@ def return_histogram(spark, sf):
     return agg.return_histogram(_user_returns(spark, sf))
 
 
-@query("return_box", with_sql("""
+BOX_SQL = with_sql("""
 WITH q AS (
   SELECT "Ticker", "IsFriday", quantile_cont("Return", 0.25) AS q1, quantile_cont("Return", 0.5) AS median,
          quantile_cont("Return", 0.75) AS q3
@@ -254,10 +254,30 @@ SELECT "Ticker", "IsFriday", count(*) AS n, round(avg("Return"), 6) AS mean, rou
        round(least(min("Return") FILTER ("Return" >= low_fence), q1), 6) AS whisker_low,
        round(greatest(max("Return") FILTER ("Return" <= high_fence), q3), 6) AS whisker_high,
        count(*) FILTER ("Return" < low_fence OR "Return" > high_fence) AS outliers
-FROM user_returns JOIN f USING ("Ticker", "IsFriday") GROUP BY "Ticker", "IsFriday", q1, median, q3"""))
+FROM user_returns JOIN f USING ("Ticker", "IsFriday") GROUP BY "Ticker", "IsFriday", q1, median, q3""")
+
+BOX_ROUNDED = ("mean", "q1", "median", "q3", "whisker_low", "whisker_high")
+
+
+@query("return_box", BOX_SQL)
 def return_box(spark, sf):
+    out = agg.return_box(_user_returns(spark, sf), daily=True)
+    return out.withColumns({c: F.round(c, 6) for c in BOX_ROUNDED})
+
+
+@query("return_box_sliced", BOX_SQL)
+def return_box_sliced(spark, sf):
+    """The same without relying on one return per day."""
     out = agg.return_box(_user_returns(spark, sf))
-    return out.withColumns({c: F.round(c, 6) for c in ("mean", "q1", "median", "q3", "whisker_low", "whisker_high")})
+    return out.withColumns({c: F.round(c, 6) for c in BOX_ROUNDED})
+
+
+@query("box_outliers", BOX_SQL.replace(BOX_SQL[BOX_SQL.index('SELECT "Ticker", "IsFriday", count(*) AS n'):], """
+SELECT "Ticker", "Date", "IsFriday", "Return" FROM user_returns JOIN f USING ("Ticker", "IsFriday")
+WHERE "Return" < low_fence OR "Return" > high_fence"""))
+def box_outliers(spark, sf):
+    returns = _user_returns(spark, sf).select("Ticker", "Date", "IsFriday", "Return")
+    return agg.box_outliers(returns, daily=True)
 
 
 SQL_TYPE_RETURNS = """type_returns AS (
@@ -278,7 +298,7 @@ FROM g LEFT JOIN k USING ("Ticker", "IsFriday", point)"""))
 def return_violin(spark, sf):
     returns = windows.add_simple_return(bars_type(spark, sf).select("Date", "Ticker", "Close"), daily=True)
     returns = filters.not_null(windows.add_is_friday(returns), "Return")
-    out = agg.return_violin(returns)
+    out = agg.return_violin(returns, daily=True)
     return out.withColumns({c: F.round(c, 6) for c in ("mean", "median", "lo", "hi", "value", "density")})
 
 
