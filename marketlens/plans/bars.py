@@ -39,7 +39,7 @@ def update(
     offered = readers.read_source(spark, "table", path=feed, start=start, end=end, interval=interval)
     new = readers.load_tickers(filters.clean_and_validate(offered), tickers)
     writers.update_history(new, table)
-    history = filters.history_slice(readers.read_bars(spark, table), start, end, tickers)
+    history = filters.history_slice(readers.read_bars(spark, table, start=start, end=end), start, end, tickers)
     return {
         "missing": readers.missing_tickers(offered, tickers),
         "history": history,

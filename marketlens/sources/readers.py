@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,14 +60,23 @@ def read_parquet_or_none(spark: SparkSession, path: str, merge_schema: bool = Fa
         raise
 
 
-def read_bars(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+def read_bars(
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, start: str | None = None, end: str | None = None
+) -> DataFrame:
     """Stored bars with their declared types, or an empty table of that layout.
 
     Only the columns asked for are read from the files; unknown names are ignored.
+    Given a first and last day, only the folders of their years are read.
     """
     stored = read_parquet_or_none(spark, path)
     if stored is None:
         stored = empty_bars(spark)
+    for day, keep in ((start, Column.__ge__), (end, Column.__le__)):
+        if day:
+            bound = F.lit(day).cast("date")
+            stored = stored.filter(keep(F.col("Date"), bound))
+            if "year" in stored.columns:
+                stored = stored.filter(keep(F.col("year"), F.year(bound)))
     wanted = [f.name for f in BAR_SCHEMA if f.name in stored.columns]
     wanted = [c for c in columns or [] if c in wanted] or wanted
     typed = {"Date": as_date, **{m: as_double for m in MEASURES}}

@@ -111,6 +111,9 @@ def test_bar_scan_prunes_columns_and_years(spark, sf):
     stored = readers.read_bars(spark, path, ["Ticker", "Close"])
     plan = stored._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<Close:double,Ticker:string>" in plan
+    some = readers.read_bars(spark, path, start="1996-05-01", end="1997-02-01")
+    assert "PartitionFilters: [isnotnull(year" in some._jdf.queryExecution().executedPlan().toString()
+    assert some.agg(F.min("Date"), F.max("Date")).first()[0].isoformat() >= "1996-05-01"
     picked = readers.load_tickers(readers.read_bars(spark, path), ["S1"])
     assert "PushedFilters: [IsNotNull(Ticker), EqualTo(Ticker,S1)]" in picked._jdf.queryExecution().executedPlan().toString().replace("In(Ticker, [S1])", "EqualTo(Ticker,S1)")
 

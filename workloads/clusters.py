@@ -75,7 +75,7 @@ def kmeans_assign(spark, sf):
     return clustering.kmeans_pipeline(3).fit(bars).transform(bars).select("Ticker", "Date", "Open", "Close", "prediction")
 
 
-@query("kmeans_nearest", with_sql("SELECT count(*) AS rows, 0 AS misplaced, 3 AS clusters FROM bars_supplier"))
+@query("kmeans_nearest", with_sql("SELECT count(*) AS rows, CAST(0 AS BIGINT) AS misplaced, CAST(3 AS BIGINT) AS clusters FROM bars_supplier"))
 def kmeans_nearest(spark, sf):
     """Every row is measured against all centres; none may lie nearer than its own."""
     bars = bars_supplier(spark, sf)

@@ -93,7 +93,8 @@ def missing_tickers(spark, sf):
 @query("range_slice", with_sql("""
 SELECT * FROM bars_supplier WHERE "Date" >= DATE '1997-01-01' AND "Date" < DATE '1998-01-01'"""))
 def range_slice(spark, sf):
-    return readers.range_slice(readers.read_bars(spark, _bar_table(spark, sf)), "1997-01-01", "1998-01-01")
+    stored = readers.read_bars(spark, _bar_table(spark, sf), start="1997-01-01", end="1998-01-01")
+    return readers.range_slice(stored, "1997-01-01", "1998-01-01")
 
 
 @query("interval_lookback", """
