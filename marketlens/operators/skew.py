@@ -14,6 +14,8 @@ about one cut point per ``rows_per_slice`` rows in all.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -25,6 +27,14 @@ _OVERSAMPLE = 16
 _SEARCH_STEPS = [1 << s for s in range(19, -1, -1)]
 
 
+def _look_up(df: DataFrame, small: DataFrame, key: Sequence[str], how: str) -> DataFrame:
+    """Join a bounded table on the key; rows without a key are one group like any other."""
+    names = {k: f"__key{i}" for i, k in enumerate(key)}
+    small = small.withColumnsRenamed(names)
+    same = reduce(and_, [F.col(quoted(k)).eqNullSafe(F.col(n)) for k, n in names.items()])
+    return df.join(F.broadcast(small), same, how).drop(*names.values())
+
+
 def _point(order: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in order])
 
@@ -42,7 +52,7 @@ def cut_points(df: DataFrame, key: Sequence[str], order: Sequence[str], rows_per
     sample = df.select(*key, *order).filter(picked)
     if key:
         sizes = df.groupBy(*key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > rows_per_slice)
-        sample = sample.join(F.broadcast(sizes.select(*key)), list(key))
+        sample = _look_up(sample, sizes.select(*key), key, "inner")
     return (
         sample.groupBy(*key)
         .agg(F.array_sort(F.collect_set(_point(order))).alias("__points"))
@@ -65,7 +75,7 @@ def _slice_number(order: Sequence[str]) -> Column:
 def with_slices(df: DataFrame, cuts: DataFrame, key: Sequence[str], order: Sequence[str], heavy_only: bool = False) -> DataFrame:
     """Add ``__slice``; 0 for every row of a light key.  Without a key the whole table is cut."""
     if key:
-        joined = df.join(F.broadcast(cuts), list(key), "inner" if heavy_only else "left")
+        joined = _look_up(df, cuts, key, "inner" if heavy_only else "left")
     else:
         joined = df.withColumn("__cuts", cuts.scalar())
     return joined.withColumn("__slice", _slice_number(order)).select(*map(quoted, df.columns), "__slice")
@@ -166,7 +176,7 @@ def ranked(
         with_slices(df, cuts, key, order)
         .withColumn("__upto", F.sum(weigh).over(so_far))
         .withColumn("__whole", F.sum(weigh).over(within))
-        .join(F.broadcast(offsets), [*key, "__slice"], "left")
+        .transform(_look_up, offsets, [*key, "__slice"], "left")
         .select(
             *map(quoted, df.columns),
             (F.coalesce("__offset", F.lit(0)) + F.col("__upto")).alias("__rank"),
