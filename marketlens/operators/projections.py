@@ -12,7 +12,7 @@ from marketlens.functions import (
     DATE_FORMAT, as_date, as_double, as_timestamp, day_name, strip_suffix,
 )
 from marketlens.operators.skew import ROWS_PER_SLICE, row_index
-from marketlens.schemas import BAR_COLUMNS, BAR_ESSENTIALS, MEASURES, PRICES, TICKER_NAMES, quoted
+from marketlens.schemas import BAR_COLUMNS, BAR_ESSENTIALS, MEASURES, TICKER_NAMES, quoted
 
 
 # --- wide close tables ------------------------------------------------------

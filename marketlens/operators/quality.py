@@ -27,7 +27,7 @@ PAIR = "expect_column_pair_values_a_to_be_greater_than_b"
 KWARGS = "column string, column_A string, column_B string, min_value double, max_value double, or_equal boolean"
 SUITE_SCHEMA = (
     "expectation_suite_name string, "
-    f"expectations array<struct<expectation_type: string, kwargs: struct<{KWARGS.replace(' string', ': string').replace(' double', ': double').replace(' boolean', ': boolean')}>>>"
+    f"expectations array<struct<expectation_type string, kwargs struct<{KWARGS}>>>"
 )
 RULE_SCHEMA = f"suite_name string, rule_no int, expectation_type string, {KWARGS}"
 

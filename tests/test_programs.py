@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameWriter
 
-from marketlens.operators import clustering, projections, windows
+from marketlens.operators import clustering, projections
 from marketlens.plans import bars as bar_plan
 from marketlens.plans import clusters as cluster_plan
 from marketlens.plans import quality as quality_plan

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketlens.operators import projections, quality
+from marketlens.operators.filters import clean_and_validate
 from marketlens.plans.quality import validate_wide
+from marketlens.schemas import quoted
 from marketlens.session import scratch_path
 from marketlens.sources import writers
-from workloads.adapters import TYPES, bars_supplier, bars_type, raw_bars, with_sql
+from workloads.adapters import TYPES, bars_type, raw_bars, with_sql
 from workloads.registry import query
 
 FIELDS = ["Open", "High", "Low", "Close", "Volume"]
@@ -97,8 +99,6 @@ def suite_rules(spark, sf):
     f"SELECT * FROM ({rules_sql('business', SUITES['business'], 'raw_bars')} UNION ALL {rules_sql('format', SUITES['format'], 'valid_bars')})"))
 def dq_results_table(spark, sf):
     """Results stored by suite; a second run of one suite replaces only its own rows."""
-    from marketlens.operators.filters import clean_and_validate
-
     path = scratch_path(spark, "dq-results")
     writers.write_replacing(_results(spark, sf), path, "suite_name")
     again = quality.validate(clean_and_validate(raw_bars(spark, sf)), {"format": SUITES["format"]})
@@ -121,8 +121,6 @@ def wide_ohlcv(spark, sf):
     ['"Date"', *[f'"{t}_{f}" AS "{t}.MC_{f}"' for t in TYPES for f in FIELDS]]) + " FROM wide"))
 def flatten_names(spark, sf):
     """Two-level labels with dots in them, flattened by hand."""
-    from marketlens.schemas import quoted
-
     bars = bars_type(spark, sf).withColumn("Ticker", F.concat("Ticker", F.lit(".MC")))
     wide = projections.wide_ohlcv(bars, [f"{t}.MC" for t in TYPES])
     labels = [("Date", "")] + [(f"{t}.MC", f) for t in TYPES for f in FIELDS]

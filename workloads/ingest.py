@@ -9,7 +9,7 @@ from marketlens.operators import projections
 from marketlens.session import scratch_path
 from marketlens.sources import readers, writers
 from workloads.adapters import (
-    bars_supplier, bars_type, bars_user, fx_quotes, raw_bars, stored_bars, table, tick_fields, tick_lines, with_sql,
+    bars_supplier, raw_bars, table, tick_fields, tick_lines, with_sql,
 )
 from workloads.registry import query
 
