@@ -130,13 +130,13 @@ def _unseen(batch: pa.RecordBatch, seen: set[int]) -> list[bytes]:
 def _sets(texts: DataFrame, common: np.ndarray, k: int, percent: int) -> DataFrame:
     """``doc_id, row, n, node, prefix`` for every text; ``prefix`` only where a partition meets a set for the first time.
 
-    ``node`` names the set by two sums of mixed hashes, 128 bits; null for an empty set.
+    ``node`` names the set by its size and two sums of mixed hashes, in 64 bits; null for an empty set.
     """
     known = texts.sparkSession.sparkContext.broadcast(common)
-    schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("n", pa.int64()), ("node", pa.binary()), ("prefix", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("prefix", pa.list_(pa.int64()))])
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[bytes] = set()
+        seen: set[int] = set()
         for batch in batches:
             at = 0
             for sets in _shingle_sets([t.as_buffer().to_pybytes() for t in batch.column("text")], k):
@@ -145,7 +145,8 @@ def _sets(texts: DataFrame, common: np.ndarray, k: int, percent: int) -> DataFra
                     node = prefix = None
                     if len(s):
                         other = mixed(s ^ np.uint64(0xA5A5A5A5A5A5A5A5))
-                        node = int(s.sum(dtype=np.uint64)).to_bytes(8, "big") + int(other.sum(dtype=np.uint64)).to_bytes(8, "big")
+                        sums = mixed(np.array([s.sum(dtype=np.uint64), other.sum(dtype=np.uint64)]))
+                        node = int(mixed(sums[:1] * np.uint64(3) + sums[1:] + np.uint64(len(s))).view(np.int64)[0])
                         if node not in seen:
                             seen.add(node)
                             order = np.lexsort((other, known.value[s >> np.uint64(46)]))
@@ -154,11 +155,11 @@ def _sets(texts: DataFrame, common: np.ndarray, k: int, percent: int) -> DataFra
                     prefixes.append(prefix)
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id").slice(at, len(sets)), batch.column("row").slice(at, len(sets)), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array(nodes, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())),
+                    pa.array(nodes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())),
                 ], schema=schema)
                 at += len(sets)
 
-    return texts.select("doc_id", "row", "text").mapInArrow(name, "doc_id long, row long, n long, node binary, prefix array<long>")
+    return texts.select("doc_id", "row", "text").mapInArrow(name, "doc_id long, row long, n long, node long, prefix array<long>")
 
 
 def _extra(n: int) -> int:
@@ -186,7 +187,7 @@ def _compare(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFr
                 yield b.select(["a", "b"]).filter(pa.array([_linked(x, y, percent) for x, y in zip(*sides)], pa.bool_()))
 
     ours = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
-    return ours.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a binary, b binary")
+    return ours.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long")
 
 
 def _query_groups(opened: DataFrame, members: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -210,10 +211,10 @@ def _query_groups(opened: DataFrame, members: DataFrame, texts: DataFrame, k: in
                     a.append(nodes[i])
                     b.append(nodes[j])
                     break
-        return pd.DataFrame({"a": pd.Series(a, dtype=object), "b": pd.Series(b, dtype=object)})
+        return pd.DataFrame({"a": pd.Series(a, dtype="int64"), "b": pd.Series(b, dtype="int64")})
 
     rows = asked.unionByName(own).join(texts, "node")
-    return rows.groupBy(*group, "part").applyInPandas(answer, "a binary, b binary")
+    return rows.groupBy(*group, "part").applyInPandas(answer, "a long, b long")
 
 
 def classes(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
@@ -224,18 +225,23 @@ def classes(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
     texts = docs.select("doc_id", row_of().alias("row"), F.xxhash64("text").alias("same"), F.coalesce("text", F.lit("")).alias("text"))
     common = _count_shingles(texts, k)
     sets = parked(_sets(texts, common, k, percent), "sets")
-    one = sets.where("prefix IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.min("row").alias("row"))
-    tokens = one.select("node", "n", "row", F.explode("prefix").alias("token"))
-    led = tokens.groupBy("token").agg(F.count("*").alias("sets"), F.min(F.struct("node", "n")).alias("lead")).where("sets > 1")
-    shared = parked(tokens.join(led.select("token", "lead"), "token"), "shared")
-
-    nodes = parked(shared.select("node", "n", "row").distinct(), "nodes")
+    met = sets.where("prefix IS NOT NULL")
+    # Several partitions may tell of the same set, so a token counts as shared if two different sets have it.
+    tokens = met.select("node", F.explode("prefix").alias("token"))
+    led = tokens.groupBy("token").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where("lead < last").drop("last")
+    shared = parked(tokens.join(led, "token").distinct(), "shared")
+    # A set that shares fewer tokens in all than the smallest similar set asks for links with none.
+    rows = met.groupBy("node").agg(F.first("n").alias("n"), F.min("row").alias("row"))
+    nodes = shared.groupBy("node").agg(F.count("*").alias("tokens")).join(rows, "node")
+    nodes = parked(nodes.where(F.col("tokens") >= _extra_of(F.floor(F.col("n") * percent / 100))).drop("tokens"), "nodes")
     held = parked(nodes.join(texts, "row").select("node", "text").dropDuplicates(["node"]), "texts")
 
-    leads = shared.where(F.col("node") != F.col("lead.node")).groupBy("node", "n", "lead").agg(F.count("*").alias("tokens"))
-    enough = F.col("tokens") >= F.least(_extra_of(F.col("n")), _extra_of(F.col("lead.n")))
-    leads = leads.where(enough & _may_link(F.col("n"), F.col("lead.n"), percent))
-    pairs = leads.groupBy("node").agg(F.max_by("lead.node", F.struct("tokens", "lead.node")).alias("b"))
+    shared = shared.join(nodes.select("node", "n"), "node")
+    leads = shared.where("node <> lead").groupBy("node", "n", "lead").agg(F.count("*").alias("tokens"))
+    leads = leads.join(nodes.select(F.col("node").alias("lead"), F.col("n").alias("lead_n")), "lead")
+    enough = F.col("tokens") >= F.least(_extra_of(F.col("n")), _extra_of(F.col("lead_n")))
+    leads = leads.where(enough & _may_link(F.col("n"), F.col("lead_n"), percent))
+    pairs = leads.groupBy("node").agg(F.max_by("lead", F.struct("tokens", "lead")).alias("b"))
     near = parked(_compare(pairs.withColumnRenamed("node", "a"), held, k, percent), "near")
 
     found = nodes.join(components(near), "node", "left").select("node", "n", F.coalesce("comp", "node").alias("comp"))
@@ -283,7 +289,7 @@ def report(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
 def deduplicate(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
     """One document of each class, the one with the smallest id, and every document without words; columns as in ``docs``."""
     found = classes(docs, k, percent)
-    kept = found.groupBy(F.coalesce("comp", F.col("row").cast("string").cast("binary"))).agg(F.min(F.struct("doc_id", "row")).alias("one"))
+    kept = found.groupBy(F.col("comp"), F.when(F.col("comp").isNull(), F.col("row"))).agg(F.min(F.struct("doc_id", "row")).alias("one"))
     key = "__row_of_document"
     marked = docs.withColumn(key, row_of())
     return marked.join(kept.select(F.col("one.row").alias(key)), key, "left_semi").dropDuplicates([key]).select(*docs.columns)

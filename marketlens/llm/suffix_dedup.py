@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import parked
 from .prefix_hash import PrefixHash, mixed
 
 LENGTH = 400
@@ -175,10 +176,12 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     copied = whole.groupBy("copy").count().where("count > 1").select("copy")
     whole = whole.join(copied, "copy").select("row", F.lit(0).cast("long").alias("start"), "end").distinct()
 
+    # Most buckets hold one run; only the runs of the others are written.
+    several = runs.groupBy("key").count().where("count > 1").select("key")
+    runs = parked(runs.join(several, "key"), "runs")
     subs = runs.groupBy("key", "sub").agg(F.count("*").alias("same"), F.min(F.struct("row", "start")).alias("one"))
-    keys = subs.groupBy("key").agg(F.count("*").alias("subs"), F.max("same").alias("most"))
-    tied = subs.join(keys.where("subs > 1 OR most > 1"), "key").where("same > 1 OR subs > 1")
-    held = runs.join(tied.drop("most"), ["key", "sub"])
+    keys = subs.groupBy("key").agg(F.count("*").alias("subs"))
+    held = runs.join(subs.join(keys, "key"), ["key", "sub"])
     closed = held.where("same > 1").select("row", "start", (F.col("start") + F.col("n") + (length - 1)).alias("end"))
     # Of runs that tie with each other, one is opened too, for the others of its bucket.
     to_open = held.where((F.col("subs") > 1) & ((F.col("same") == 1) | (F.struct("row", "start") == F.col("one"))))
