@@ -8,11 +8,12 @@ class that links connect.  No pair list of a class is ever made: what is wanted
    ``need`` is the least overlap that any similar set must have.  Two similar sets then share at least the smaller ``extra`` of
    those.  The order comes from a count of all shingles in a table of fixed size; it steers the cost and not the result.
 3. *Leaders.*  Within a token's sets the smallest node leads.  Every set is compared with the leader it shares most tokens
-   with, which costs one comparison a set and connects most of each class.
-4. *Token-group matrix.*  The classes found so far are the groups of similar documents, in pieces of about ``GROUP`` sets.  The
-   matrix holds which tokens occur in which group.  A set that shares enough tokens with a group outside its own class
-   queries it, from the smaller class into the larger.  The query opens the group only if its whole shingle set overlaps the
-   union of the group's sets enough, and stops at the first link.
+   with, and those left alone with a member of the largest class near them.  That is two comparisons a set and connects most
+   of each class.
+4. *Token-group matrix.*  Sets whose leaders chain together are similar; they form groups of about ``GROUP`` sets.  The matrix
+   holds which tokens occur in which group.  A set that shares enough tokens with a group queries it for members of larger
+   classes than its own, so that members of the largest class nearby ask nothing.  The query opens the group only if its whole
+   shingle set overlaps the union of the group's sets enough, and then counts its overlap with all members at once.
 5. *Classes* are joined by both kinds of links.  Every pair that the bounds don't rule out is either connected already or
    compared, so no class is missed.
 
@@ -35,7 +36,7 @@ from .prefix_hash import PrefixHash, mixed
 
 K, PERCENT = 4, 85
 #: Sets in a group, about; and queries that one task puts to a group.
-GROUP, QUERIES = 64, 256
+GROUP, QUERIES = 1024, 1024
 #: Counters of the shingle count, and the pieces it is summed in.
 COUNTERS, PIECES = 1 << 18, 16
 #: One more shared token is asked for with every so many shingles.
@@ -191,32 +192,52 @@ def _compare(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFr
 
 
 def _query_groups(opened: DataFrame, members: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """Links ``a, b`` from ``opened`` (a node and the group it queries): one at most for each query."""
-    group = ["comp", "piece"]
+    """Links ``a, b`` from ``opened`` (a node, its class rank and the group it queries) to members of a higher rank."""
+    group = ["cluster", "piece"]
     parts = opened.groupBy(*group).agg(F.ceil(F.count("*") / QUERIES).alias("parts"))
-    asked = opened.join(parts, group).select(*group, F.pmod(F.xxhash64("node"), F.col("parts")).alias("part"), "node", F.lit(True).alias("asks"))
-    own = members.join(parts, group).select(*group, F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "node", F.lit(False).alias("asks"))
+    part = F.pmod(F.xxhash64("node"), F.col("parts"))
+    asked = opened.join(parts, group).select(*group, part.alias("part"), "node", "size", "comp", F.lit(True).alias("asks"))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
+    own = members.join(parts, group).select(*group, every.alias("part"), "node", "size", "comp", F.lit(False).alias("asks"))
 
-    def answer(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    def answer(rows: pd.DataFrame) -> pd.DataFrame:
         sets = [s for part in _shingle_sets([t.encode() for t in rows.text], k) for s in part]
-        nodes, asks = list(rows.node), list(rows.asks)
-        held = [i for i, q in enumerate(asks) if not q]
-        union = np.unique(np.concatenate([sets[i] for i in held])) if held else np.empty(0, np.uint64)
+        ranks, nodes, asks = list(zip(rows["size"], rows.comp)), rows.node.to_numpy(), rows.asks.to_numpy(bool)
+        held = np.flatnonzero(~asks)
+        # Members by token; its distinct tokens are the group's union.
+        sizes = np.array([len(sets[i]) for i in held], np.int64)
+        tokens = np.concatenate([sets[i] for i in held])
+        order = np.argsort(tokens, kind="stable")
+        tokens, owner = tokens[order], np.repeat(np.arange(len(held)), sizes)[order]
         a, b = [], []
-        for i, q in enumerate(asks):
-            if not q or len(np.intersect1d(sets[i], union, assume_unique=True)) < _need(len(sets[i]), percent):
+        for i in np.flatnonzero(asks):
+            q = sets[i]
+            lo, n = np.searchsorted(tokens, q), 0
+            n = np.searchsorted(tokens, q, "right") - lo
+            if np.count_nonzero(n) < _need(len(q), percent):
                 continue
-            for j in held:
-                if _linked(sets[i], sets[j], percent):
+            upto = np.cumsum(n)
+            both = np.bincount(owner[np.repeat(lo - (upto - n), n) + np.arange(upto[-1])], minlength=len(held))
+            linked = np.flatnonzero(100 * both >= percent * (len(q) + sizes - both))
+            met = set()  # one link to each class is enough
+            for j in linked:
+                rank = ranks[held[j]]
+                if rank > ranks[i] and rank not in met:
+                    met.add(rank)
                     a.append(nodes[i])
-                    b.append(nodes[j])
-                    break
+                    b.append(nodes[held[j]])
         return pd.DataFrame({"a": pd.Series(a, dtype="int64"), "b": pd.Series(b, dtype="int64")})
 
     rows = asked.unionByName(own).join(texts, "node")
     return rows.groupBy(*group, "part").applyInPandas(answer, "a long, b long")
 
 
+def _ranked(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """``nodes`` with the class that the links put them in and its size."""
+    found = nodes.join(components(links), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    return found.join(found.groupBy("comp").agg(F.count("*").alias("size")), "comp")
+
+
 def classes(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
     """``doc_id, row, n_shingles, node, comp`` for every row: its set, and the class of sets it hangs together with.
 
@@ -242,23 +263,36 @@ def classes(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
     enough = F.col("tokens") >= F.least(_extra_of(F.col("n")), _extra_of(F.col("lead_n")))
     leads = leads.where(enough & _may_link(F.col("n"), F.col("lead_n"), percent))
     pairs = leads.groupBy("node").agg(F.max_by("lead", F.struct("tokens", "lead")).alias("b"))
-    near = parked(_compare(pairs.withColumnRenamed("node", "a"), held, k, percent), "near")
-
-    found = nodes.join(components(near), "node", "left").select("node", "n", F.coalesce("comp", "node").alias("comp"))
-    sizes = found.groupBy("comp").agg(F.count("*").alias("size"))
-    found = found.join(sizes, "comp").withColumn("pieces", F.ceil(F.col("size") / GROUP))
-    found = parked(found.select("node", "n", "comp", "size", F.pmod(F.xxhash64("node"), F.col("pieces")).alias("piece")), "found")
+    pairs = parked(pairs.select(F.col("node").alias("a"), "b"), "pairs")
+    near = parked(_compare(pairs, held, k, percent), "near")
 
+    # Sets left alone are compared once more, with a member of the largest class that they share enough tokens with.
+    found = _ranked(nodes, near)
+    placed = shared.select("token", "node").join(found, "node")
+    head = F.struct("size", "comp", F.xxhash64("node", F.lit("head")).alias("draw"), "node", "n")
+    heads = placed.where("size > 1").groupBy("token").agg(F.max(head).alias("head"))
+    alone = placed.where("size = 1").join(heads, "token").groupBy("node", "n", "head").agg(F.count("*").alias("tokens"))
+    enough = F.col("tokens") >= F.least(_extra_of(F.col("n")), _extra_of(F.col("head.n")))
+    alone = alone.where(enough & _may_link(F.col("n"), F.col("head.n"), percent))
+    again = alone.groupBy(F.col("node").alias("a")).agg(F.max_by("head.node", F.struct("head.size", "tokens", "head.node")).alias("b"))
+    near = parked(near.unionByName(_compare(again, held, k, percent)), "near")
+
+    # Groups: sets whose leaders chain together, in pieces.
+    clusters = _ranked(nodes.select("node"), pairs).select(
+        "node", F.col("comp").alias("cluster"), F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / GROUP)).alias("piece")
+    )
+    found = parked(_ranked(nodes, near).join(clusters, "node"), "found")
     placed = shared.select("token", "node").join(found, "node")
-    matrix = placed.groupBy("token", "comp", "size", "piece").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    ours = placed.select("token", "node", "n", F.struct("size", "comp").alias("own"))
-    theirs = matrix.select("token", "comp", "piece", "least", "most", F.struct("size", "comp").alias("other"))
+    rank = F.struct("size", "comp")
+    matrix = placed.groupBy("token", "cluster", "piece").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max(rank).alias("top"))
+    ours = placed.select("token", "node", "n", rank.alias("own"))
     # Sizes differ by little within a link, so only groups with a member of a fitting size are asked.
     fits = (100 * F.col("most") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("least"))
-    hits = ours.join(theirs, "token").where((F.col("own") < F.col("other")) & fits)
-    hits = hits.groupBy("node", "n", "comp", "piece").agg(F.count("*").alias("tokens"), F.min("least").alias("least"))
-    opened = parked(hits.where(F.col("tokens") >= F.least(_extra_of(F.col("n")), _extra_of(F.col("least")))).select("node", "comp", "piece"), "opened")
-    far = _query_groups(opened, found.select("comp", "piece", "node"), held, k, percent)
+    hits = ours.join(matrix, "token").where((F.col("own") < F.col("top")) & fits)
+    hits = hits.groupBy("node", "n", "own", "cluster", "piece").agg(F.count("*").alias("tokens"), F.min("least").alias("least"))
+    opened = hits.where(F.col("tokens") >= F.least(_extra_of(F.col("n")), _extra_of(F.col("least"))))
+    opened = parked(opened.select("node", "own.size", "own.comp", "cluster", "piece"), "opened")
+    far = _query_groups(opened, found.select("cluster", "piece", "node", "size", "comp"), held, k, percent)
 
     final = components(near.unionByName(far))
     return sets.select("doc_id", "row", F.col("n").alias("n_shingles"), "node").join(final, "node", "left").select(
