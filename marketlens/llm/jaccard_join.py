@@ -255,7 +255,8 @@ def classes(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
     rows = met.groupBy("node").agg(F.first("n").alias("n"), F.min("row").alias("row"))
     nodes = shared.groupBy("node").agg(F.count("*").alias("tokens")).join(rows, "node")
     nodes = parked(nodes.where(F.col("tokens") >= _extra_of(F.floor(F.col("n") * percent / 100))).drop("tokens"), "nodes")
-    held = parked(nodes.join(texts, "row").select("node", "text").dropDuplicates(["node"]), "texts")
+    # Both sides grow with the corpus, so this is a sort-merge join at any size.
+    held = parked(nodes.join(texts.hint("merge"), "row").select("node", "text").dropDuplicates(["node"]), "texts")
 
     shared = shared.join(nodes.select("node", "n"), "node")
     leads = shared.where("node <> lead").groupBy("node", "n", "lead").agg(F.count("*").alias("tokens"))
