@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import alnum_words, grams
+from .common import alnum_words, grams, parked
 
 K = 5
 #: Least similarity, in hundredths.
@@ -101,7 +101,7 @@ def matches(docs: DataFrame, items: DataFrame, percent: int = PERCENT, k: int =
     opened = _open_windows(text.select("row", alnum_words(F.col("text")).alias("words")), asked, k)
 
     # The windows of a document travel as one row, so that its text is joined once.
-    marks = opened.groupBy("row").agg(F.collect_list(F.struct("item", "start", "n_item")).alias("marks"))
+    marks = parked(opened.groupBy("row").agg(F.collect_list(F.struct("item", "start", "n_item")).alias("marks")), "marks")
     opened_text = text.join(marks, "row").select("row", "marks", alnum_words(F.col("text")).alias("words"))
     windows = opened_text.select("row", F.inline(F.transform("marks", lambda m: F.struct(
         m["item"].alias("item"), m["start"].alias("start"),

@@ -43,19 +43,22 @@ def _count_bytes(text: Column, chars: str) -> Column:
     return reduce(lambda a, b: a + b, [F.octet_length(text) - F.octet_length(F.replace(text, F.lit(c), F.lit(""))) for c in chars])
 
 
-def _repeat_words(words: Column, runs: Column) -> Column:
-    """Words inside a run of ``WINDOW`` words that stands in the text more than once.
+def _with_repeat_words(df: DataFrame) -> DataFrame:
+    """``n_repeat_words``: words inside a run of ``WINDOW`` words that stands in the text more than once.
 
-    ``runs`` are the hashes of all runs.  Equal runs meet by sorting (hash, place) within the document; a word that several
-    runs cover counts once.
+    ``runs`` are the hashes of all runs.  Equal runs meet by sorting (hash, place) within the document, which only texts that
+    repeat a run need; a word that several runs cover counts once.  Each step is a column, so that no step is done anew for
+    every element of the next.
     """
-    placed = F.sort_array(F.transform(runs, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    again = F.transform(placed, lambda x, j: F.when(
-        F.get(placed, j - 1)["h"].eqNullSafe(x["h"]) | F.get(placed, j + 1)["h"].eqNullSafe(x["h"]), x["i"]
+    repeats = F.size(F.array_distinct("runs")) < F.size("runs")
+    placed = F.sort_array(F.transform("runs", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    df = df.withColumn("placed", F.when(repeats, placed).otherwise(F.array().cast("array<struct<h:bigint,i:int>>")))
+    again = F.transform("placed", lambda x, j: F.when(
+        F.get("placed", j - 1)["h"].eqNullSafe(x["h"]) | F.get("placed", j + 1)["h"].eqNullSafe(x["h"]), x["i"]
     ))
-    at = F.sort_array(F.filter(again, lambda i: i.isNotNull()))
-    steps = F.transform(at, lambda i, j: F.least(F.lit(WINDOW), F.coalesce(F.get(at, j + 1) - i, F.lit(WINDOW))))
-    return F.aggregate(steps, F.lit(0), lambda a, b: a + b)
+    df = df.withColumn("at", F.sort_array(F.filter(again, lambda i: i.isNotNull())))
+    steps = F.transform("at", lambda i, j: F.least(F.lit(WINDOW), F.coalesce(F.get("at", j + 1) - i, F.lit(WINDOW))))
+    return df.withColumn("n_repeat_words", F.aggregate(steps, F.lit(0), lambda a, b: a + b).cast("long")).drop("placed", "at")
 
 
 def ledger(docs: DataFrame) -> DataFrame:
@@ -76,11 +79,7 @@ def ledger(docs: DataFrame) -> DataFrame:
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
     )
-    # Most texts repeat no run; only the others are sorted.
-    repeats = F.size(F.array_distinct("runs")) < F.size("runs")
-    measured = measured.withColumn(
-        "n_repeat_words", F.when(repeats, _repeat_words(F.col("words"), F.col("runs"))).otherwise(0).cast("long")
-    ).drop("words", "runs")
+    measured = _with_repeat_words(measured).drop("words", "runs")
     bits = [F.when(F.expr(condition), F.lit(1 << i)).otherwise(0) for i, (_, condition) in enumerate(RULES)]
     return measured.withColumn("fails", reduce(lambda a, b: a.bitwiseOR(b), bits).cast("long"))
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Pieces that a worker remembers; beyond, it starts anew, which costs time only.
-REMEMBER = 1 << 19
+REMEMBER = 1 << 20
 #: Bytes of text that are handled at a time, unless a single text is longer.
 STEP = 2_000_000
 
