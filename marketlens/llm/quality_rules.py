@@ -117,10 +117,10 @@ def oracle_sql(policy: str = "v1") -> str:
     word = "[^\\x20\\x09-\\x0D]"
     return f"""
 WITH w AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{word}+') AS ws FROM documents),
-l AS (SELECT doc_id, list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '{word}')) AS ls FROM w),
+l AS (SELECT doc_id, [x FOR x IN string_split(text, chr(10)) IF regexp_matches(x, '{word}')] AS ls FROM w),
 g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i:i + {WINDOW - 1}]) AS n FROM w, range(1, len(ws) - {WINDOW - 2}) r(i)),
 c AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM g, range(0, {WINDOW}) s(j) WHERE n > 1 GROUP BY doc_id),
-m AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, x -> length(x))), 0)::BIGINT AS word_chars,
+m AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(list_sum([length(x) FOR x IN ws]), 0)::BIGINT AS word_chars,
     len(regexp_extract_all(text, '[{SYMBOLS}]'))::BIGINT AS n_symbols, len(ls)::BIGINT AS n_lines,
     (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words
   FROM w JOIN l USING (doc_id) LEFT JOIN c USING (doc_id))
