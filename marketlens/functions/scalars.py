@@ -107,5 +107,5 @@ def join_name(*parts: Column) -> Column:
 
 
 def round_half_up(x: Column, digits: int) -> Column:
-    """Rounding on decimals, so that 1.005 to two digits does not depend on its binary form."""
-    return F.round(x.cast("decimal(38,12)"), digits).cast("double")
+    """Rounding on decimals, so that 1.005 to two digits does not depend on its binary form; on doubles beyond their range."""
+    return F.coalesce(F.round(x.try_cast("decimal(38,12)"), digits).cast("double"), F.round(x.cast("double"), digits))

@@ -46,20 +46,25 @@ def _coherent() -> Column:
     return (F.col("High") >= F.col("Low")) & F.col("Close").between(F.col("Low"), F.col("High"))
 
 
+def _typed(df: DataFrame) -> DataFrame:
+    """Measures as doubles, a bad value as null, and whole units of volume; the same for kept and rejected rows."""
+    typed = df.withColumns({c: nan_to_null(F.col(c).try_cast("double")) for c in MEASURES})
+    return typed.withColumn("Volume", F.col("Volume").try_cast("bigint").cast("double"))
+
+
 def clean_and_validate(df: DataFrame) -> DataFrame:
     """Essential fields present, nothing negative, ``Low <= Close <= High``.
 
     Measures come out as doubles with NaN turned into null; a NaN would pass
     every comparison.  Volume is cut to whole units and kept as a double.
     """
-    typed = df.withColumns({c: nan_to_null(F.col(c).cast("double")) for c in MEASURES})
-    typed = typed.withColumn("Volume", F.col("Volume").try_cast("bigint").cast("double"))
+    typed = _typed(df)
     return drop_missing_essentials(typed).filter(_non_negative() & _coherent())
 
 
 def reject_reasons(df: DataFrame) -> DataFrame:
     """The complement of ``clean_and_validate``: rejected rows with an array of reasons."""
-    typed = df.withColumns({c: nan_to_null(F.col(c).cast("double")) for c in MEASURES})
+    typed = _typed(df)
     missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in BAR_ESSENTIALS])
     reasons = F.array_compact(F.array(
         F.when(missing, "missing"),

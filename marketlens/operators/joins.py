@@ -30,7 +30,7 @@ def new_tickers(current: DataFrame, stored: DataFrame) -> DataFrame:
 def latest_quote(quotes: DataFrame, fine: str = "1m", coarse: str = "1d") -> DataFrame:
     """One row: the last close of the fine series, else of the coarse one, else NaN."""
     def last(interval: str) -> Column:
-        live = (F.col("interval") == interval) & F.col("close").isNotNull()
+        live = (F.col("interval") == interval) & F.col("close").isNotNull() & ~F.isnan("close")
         newest = F.max(F.when(live, F.struct("ts", "close")))
         return newest["close"]
 
