@@ -161,6 +161,7 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def accepted(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """The documents whose language can be told, with the columns of ``docs``."""
-    model = fit(docs)
-    return predict(docs, model).where((F.col("lang_pred") != UNKNOWN) & (F.col("lang_score") >= least)).select(*docs.columns)
+    """The documents whose language can be told, with the columns of ``docs`` as they are, whatever their names."""
+    own = {c: f"__own_{c}" for c in ("lang_pred", "lang_score") if c in docs.columns}
+    told = predict(docs.withColumnsRenamed(own), fit(docs)).where((F.col("lang_pred") != UNKNOWN) & (F.col("lang_score") >= least))
+    return told.drop("lang_pred", "lang_score").withColumnsRenamed({new: c for c, new in own.items()}).select(*docs.columns)

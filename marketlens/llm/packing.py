@@ -51,7 +51,7 @@ class Packer:
             yield [(doc, at, length)]
             at += length
         if at < n:
-            if not self.free:
+            while not self.free:  # a fill that only cuts leaves its rest waiting
                 yield from self._fill()
             self._wait(doc, at, n, loss)
 
