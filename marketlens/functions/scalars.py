@@ -10,7 +10,7 @@ from marketlens.schemas import quoted
 
 __all__ = [
     "DATE_FORMAT",
-    "lenient_double", "lenient_int", "as_double", "as_date", "as_timestamp", "nan_to_null",
+    "lenient_double", "lenient_int", "as_double", "as_date", "as_timestamp", "nan_to_null", "without_nan",
     "ratio_return", "percent_change", "variation_class", "quartile_label",
     "day_name", "friday_label", "strip_suffix", "join_name", "round_half_up",
 ]
@@ -35,6 +35,12 @@ def nan_to_null(x: Column) -> Column:
     return F.nullif(x, F.lit(float("nan")))
 
 
+def without_nan(df: DataFrame, name: str) -> Column:
+    """The column as it is, but for NaN, which becomes null."""
+    real = isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType))
+    return nan_to_null(F.col(quoted(name))) if real else F.col(quoted(name))
+
+
 def as_double(df: DataFrame, name: str) -> Column:
     """The column as a nullable double, whatever type it has."""
     kind, c = df.schema[name].dataType, F.col(quoted(name))

@@ -51,12 +51,14 @@ def label_difference_counts(left: DataFrame, right: DataFrame, key: str = "Ticke
     """How many pairs of rows of the same ticker carry different labels.
 
     Every row of a ticker on one side meets every row on the other.  The pairs
-    are counted from the label sizes of both sides and never written out.
+    are counted from the label sizes of both sides and never written out, as decimals,
+    since two counts of some billions have a product beyond a long.
     """
-    a = left.groupBy(key, "kmeans_cluster").agg(F.count(F.lit(1)).alias("__a"))
-    b = right.groupBy(key, "gmm_cluster").agg(F.count(F.lit(1)).alias("__b"))
+    size = F.count(F.lit(1)).cast("decimal(19,0)")
+    a = left.groupBy(key, "kmeans_cluster").agg(size.alias("__a"))
+    b = right.groupBy(key, "gmm_cluster").agg(size.alias("__b"))
     return distinct_labels(a.join(b, key), "kmeans_cluster", "gmm_cluster").select(
-        key, "kmeans_cluster", "gmm_cluster", (F.col("__a") * F.col("__b")).alias("pairs")
+        key, "kmeans_cluster", "gmm_cluster", (F.col("__a") * F.col("__b")).cast("decimal(38,0)").alias("pairs")
     )
 
 

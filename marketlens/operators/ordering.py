@@ -28,10 +28,14 @@ def scatter_sample(
 ) -> DataFrame:
     """At most ``n`` complete price/volume points per ticker, the same ones in every run.
 
-    Rows are taken in the order of a digest of ``key`` and the seed, which is a
-    random order that does not depend on how the rows are spread over tasks.
+    Rows are taken in the order of a digest of ``key`` (by default the whole point) and
+    the seed, which is a random order that does not depend on how the rows are spread
+    over tasks.
     """
-    parts = key or [F.date_format("Date", "yyyy-MM-dd"), F.col("Ticker")]
+    parts = key or [
+        F.date_format("Date", "yyyy-MM-dd"), F.col("Ticker"),
+        *[F.col(c).try_cast("decimal(38,6)").cast("string") for c in ("Close", "Volume")],
+    ]
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
     points = df.select("Date", "Ticker", "Close", "Volume", digest.alias("__pick")).na.drop(subset=["Close", "Volume"])
     order = [F.col(c) for c in ("__pick", "Date", "Close", "Volume")]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlens.functions import (
-    DATE_FORMAT, as_date, as_double, as_timestamp, day_name, strip_suffix,
+    DATE_FORMAT, as_date, as_double, as_timestamp, day_name, strip_suffix, without_nan,
 )
 from marketlens.operators.skew import ROWS_PER_SLICE, row_index
 from marketlens.schemas import BAR_COLUMNS, BAR_ESSENTIALS, MEASURES, TICKER_NAMES, quoted
@@ -62,7 +62,7 @@ def drop_empty_columns(df: DataFrame) -> DataFrame:
     One aggregate reads all counts; its single row decides the schema.
     """
     counts = df.agg(
-        F.count(F.lit(1)).alias("rows"), *[F.count(quoted(c)).alias(f"c{i}") for i, c in enumerate(df.columns)]
+        F.count(F.lit(1)).alias("rows"), *[F.count(without_nan(df, c)).alias(f"c{i}") for i, c in enumerate(df.columns)]
     ).first()
     if counts["rows"] == 0:
         return df
@@ -228,7 +228,9 @@ def derive_event_ts(df: DataFrame, order: Sequence[str] | None = None, rows_per_
         return stamped
     numbered = row_index(df, order, "__i", rows_per_slice)
     start = F.lit("1970-01-01").cast("timestamp_ntz")
-    return numbered.select((start + F.make_dt_interval(secs=F.col("__i"))).alias("EventTS"), *rest)
+    # Days and seconds apart: the seconds of an interval are a decimal of twelve digits in all.
+    days, seconds = F.floor(F.col("__i") / 86400).cast("int"), F.pmod(F.col("__i"), F.lit(86400))
+    return numbered.select((start + F.make_dt_interval(days=days, secs=seconds)).alias("EventTS"), *rest)
 
 
 def normalize_any(df: DataFrame, order: Sequence[str] | None = None, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:

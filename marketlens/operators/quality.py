@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketlens.functions import without_nan
 from marketlens.operators.filters import drop_incomplete
 from marketlens.schemas import MEASURES, PRICES, quoted
 
@@ -150,7 +151,8 @@ def _result(suite: str, no: int, rule: Rule, evaluated: Column, unexpected: Colu
 
 
 def validate(df: DataFrame, suites: dict[str, Sequence[Rule]]) -> DataFrame:
-    """One row per rule of every suite; all suites share one pass over the table."""
+    """One row per rule of every suite; all suites share one pass over the table.  NaN counts as missing."""
+    df = df.select(*[without_nan(df, c).alias(c) for c in df.columns])
     numbered = [(s, i, r) for s, rules in suites.items() for i, r in enumerate(rules)]
     scalar = [(s, i, r) for s, i, r in numbered if r.expectation_type != UNIQUE]
     parts = []

@@ -49,7 +49,9 @@ def update_history(new: DataFrame, path: str, staged: str | None = None) -> str:
     stored = read_parquet_or_none(spark, path)
     if stored is not None:
         years = [r[0] for r in new.select(F.year("Date")).distinct().collect()]  # as many as calendar years
-        merged = merge_history(stored.filter(F.col("year").isin(years)), new)
+        # Bars without a date share a folder, which is rewritten like that of a year.
+        touched = F.col("year").isin([y for y in years if y is not None]) | (F.col("year").isNull() & F.lit(None in years))
+        merged = merge_history(stored.filter(touched), new)
     else:
         merged = merge_history(new.limit(0), new)
     staged = staged or scratch_path(spark, "history")

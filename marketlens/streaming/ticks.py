@@ -11,7 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from marketlens.operators.joins import latest_quote
 from marketlens.operators.projections import map_ticks
-from marketlens.schemas import TICK_TEXT_SCHEMA
+from marketlens.schemas import TICK_BAR_SCHEMA, TICK_TEXT_SCHEMA
+from marketlens.sources.readers import read_parquet_or_none
 
 
 def read_tick_stream(
@@ -79,7 +80,9 @@ def run_ticks(query: StreamingQuery, timeout_seconds: float | None = None) -> No
 
 
 def read_tick_bars(spark: SparkSession, sink: str) -> DataFrame:
-    return spark.read.parquet(sink).drop("batch_id")
+    """Stored ticks; an empty table of that layout where nothing is stored yet."""
+    stored = read_parquet_or_none(spark, sink)
+    return spark.createDataFrame([], TICK_BAR_SCHEMA) if stored is None else stored.drop("batch_id")
 
 
 def read_batch_metrics(spark: SparkSession, metrics: str) -> DataFrame:

@@ -330,7 +330,8 @@ def last_row(spark, sf):
 @query("scatter_sample", with_sql("""
 SELECT "Date", "Ticker", "Close", "Volume" FROM raw_bars WHERE "Close" IS NOT NULL AND "Volume" IS NOT NULL
 QUALIFY row_number() OVER (PARTITION BY "Ticker"
-  ORDER BY md5('42|' || strftime("Date", '%Y-%m-%d') || '|' || "Ticker"), "Date", "Close", "Volume") <= 20"""))
+  ORDER BY md5('42|' || strftime("Date", '%Y-%m-%d') || '|' || "Ticker" || '|' || CAST("Close" AS DECIMAL(38,6))
+    || '|' || CAST("Volume" AS DECIMAL(38,6))), "Date", "Close", "Volume") <= 20"""))
 def scatter_sample(spark, sf):
     return ordering.scatter_sample(raw_bars(spark, sf), 20)
 

@@ -25,7 +25,7 @@ def cluster_disagreement(spark, sf):
 
 
 @query("cluster_disagreement_by_ticker", with_sql("""
-SELECT a."Ticker", a.kmeans_cluster, b.gmm_cluster, count(*) AS pairs
+SELECT a."Ticker", a.kmeans_cluster, b.gmm_cluster, CAST(count(*) AS DECIMAL(38,0)) AS pairs
 FROM label_pairs a JOIN label_pairs b ON a."Ticker" = b."Ticker" AND a.kmeans_cluster <> b.gmm_cluster GROUP BY 1, 2, 3"""))
 def cluster_disagreement_by_ticker(spark, sf):
     """Joined on the ticker alone; the pairs are counted, not listed."""
