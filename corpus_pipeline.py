@@ -28,8 +28,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the byte strings that stand more than once."""
-    return suffix_dedup.remove(docs)
+    """Texts without the strings of 400 bytes and the passages of over 50 words that stand more than once."""
+    return suffix_dedup.remove(docs, words=51)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -33,11 +33,14 @@ def _power(base: int, n: int) -> np.ndarray:
 
 
 class PrefixHash:
-    """Polynomial hashes over random byte values, modulo 2 ** 64: equal stretches have equal hashes wherever they stand."""
+    """Polynomial hashes over random byte values, modulo 2 ** 64: equal stretches have equal hashes wherever they stand.
+
+    Instead of bytes, ``buf`` may hold the 64-bit hashes of larger units.
+    """
 
     def __init__(self, buf: np.ndarray):
         self.sums = np.zeros(len(buf) + 1, np.uint64)
-        np.cumsum(_VALUES[buf] * _power(_BASE, len(buf)), dtype=np.uint64, out=self.sums[1:])
+        np.cumsum((_VALUES[buf] if buf.dtype == np.uint8 else buf) * _power(_BASE, len(buf)), dtype=np.uint64, out=self.sums[1:])
         self.inverse = _power(_INVERSE, len(buf) + 1)
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:

@@ -15,6 +15,10 @@ form a run, and a run is what is shuffled, not its suffixes.
 task as one row.  A run alone in its bucket has no tie.  Only the other runs are opened: their suffixes are named by all
 ``LENGTH`` bytes and counted within the bucket.  A bucket that a third of the corpus shares is thus spread by what follows.
 
+*Words.*  Passages may be asked for by words too: a word is one number, its hash, and a passage of so many words is found like
+a string of so many bytes, whatever white space stands in it.  Both kinds of runs go through the same joins; the lowest bit of a
+bucket's name tells them apart.
+
 Buckets are handled one after the other by Spark's sort and aggregation, which spill.  Names are 64-bit hashes, always taken
 two at a time (bucket and run, bucket and suffix).  The result is exact, not a sample.
 """
@@ -34,11 +38,15 @@ from .prefix_hash import PrefixHash, mixed
 
 LENGTH = 400
 CLASS = 128
+#: The same for words.
+WORD_CLASS = 21
 #: Bytes of text hashed at a time; a longer text is cut into overlapping steps.
 STEP = 1 << 19
 _PLACE = (1 << 20) - 1
-_RUN = pa.schema([("key", pa.int64()), ("sub", pa.int64()), ("row", pa.int64()), ("start", pa.int64()), ("n", pa.int32())])
-_SUFFIX = pa.schema([("key", pa.int64()), ("name", pa.int64()), ("row", pa.int64()), ("start", pa.int64()), ("open", pa.bool_())])
+_RUN = pa.schema([("key", pa.int64()), ("sub", pa.int64()), ("row", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
+_SUFFIX = pa.schema([("key", pa.int64()), ("name", pa.int64()), ("row", pa.int64()), ("place", pa.int64()), ("open", pa.bool_())])
+#: A suffix's place is its first byte and, above these bits, its size.
+_FIRST = 32
 
 
 def _window_min(x: np.ndarray, w: int) -> np.ndarray:
@@ -52,9 +60,27 @@ def _window_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(back[:n - w + 1], ahead[w - 1:n])
 
 
-def _runs(data: bytes, length: int, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
-    """key, sub, start, n of all runs of the texts ``data[bounds[i]:bounds[i + 1]]``."""
-    buf = np.frombuffer(data, np.uint8)
+def _units(text: np.ndarray, words: bool) -> tuple[np.ndarray, np.ndarray | None, np.ndarray | None]:
+    """What is compared, bytes or the hashes of words, and for words the first byte of each and the byte after its last."""
+    if not words:
+        return text, None, None
+    edge = np.zeros(len(text) + 2, np.int8)
+    edge[1:-1] = (text != 32) & ((text < 9) | (text > 13))
+    edge = np.diff(edge)
+    first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    values = np.empty(len(first), np.uint64)
+    a = 0
+    while a < len(first):
+        b = max(a + 1, int(np.searchsorted(last, first[a] + STEP, "right")))
+        values[a:b] = PrefixHash(text[first[a]:last[b - 1]]).of(first[a:b] - first[a], last[a:b] - first[a])
+        a = b
+    return values, first, last
+
+
+def _runs(buf: np.ndarray, length: int, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
+    """key, sub, start, n of all runs of the texts ``buf[bounds[i]:bounds[i + 1]]``."""
+    words = buf.dtype != np.uint8
+    size = WORD_CLASS if words else CLASS
     k = max(1, length // 5)
     w = length - k + 1
     hashes = PrefixHash(buf)
@@ -67,26 +93,26 @@ def _runs(data: bytes, length: int, bounds: np.ndarray) -> tuple[np.ndarray, ...
     if not len(start):
         return (np.empty(0, np.int64),) * 4
     far = sample - start
-    kind = far // CLASS
+    kind = far // size
     new = np.ones(len(start), bool)
     new[1:] = (np.diff(start) != 1) | (np.diff(sample) != 0) | (np.diff(kind) != 0)
     at = np.flatnonzero(new)
     last = np.append(at[1:], len(start)) - 1
     s0, s1, p, c = start[at], start[last], sample[at], kind[at]
-    shared = hashes.of(p - c * CLASS, p - np.minimum(c * CLASS + CLASS - 1, w - 1) + length)
-    key = mixed(shared + c.astype(np.uint64))
+    shared = hashes.of(p - c * size, p - np.minimum(c * size + size - 1, w - 1) + length)
+    key = (mixed(shared + c.astype(np.uint64)) & ~np.uint64(1)) | np.uint64(words)
     sub = mixed(hashes.of(s0, s1 + length) + (far[at] * 4096 + (s1 - s0)).astype(np.uint64))
     return key.view(np.int64), sub.view(np.int64), s0, s1 - s0 + 1
 
 
-def _steps(texts: list[bytes], length: int) -> Iterator[tuple[bytes, np.ndarray, list[int], np.ndarray]]:
+def _steps(texts: list[np.ndarray], length: int) -> Iterator[tuple[np.ndarray, np.ndarray, list[int], np.ndarray]]:
     """Buffers with the bounds of their texts, the texts' numbers, and how far into its text each begins."""
-    held: list[tuple[int, int, bytes]] = []
+    held: list[tuple[int, int, np.ndarray]] = []
     size = 0
 
     def buffer():
         sizes = [len(t) for *_, t in held]
-        return b"".join(t for *_, t in held), np.concatenate([[0], np.cumsum(sizes)]), [i for i, *_ in held], np.array([a for _, a, _ in held])
+        return np.concatenate([t for *_, t in held]), np.concatenate([[0], np.cumsum(sizes)]), [i for i, *_ in held], np.array([a for _, a, _ in held])
 
     for i, text in enumerate(texts):
         for a in range(0, max(1, len(text) - length + 1), STEP):
@@ -102,7 +128,7 @@ def _steps(texts: list[bytes], length: int) -> Iterator[tuple[bytes, np.ndarray,
         yield buffer()
 
 
-def _find_runs(docs: DataFrame, length: int) -> DataFrame:
+def _find_runs(docs: DataFrame, length: int, words: int | None) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # copies of a text within a partition have the same runs
         for whole in batches:
@@ -110,48 +136,71 @@ def _find_runs(docs: DataFrame, length: int) -> DataFrame:
                 b = whole.slice(lo, 1000)
                 rows, texts = [], []
                 for row, same, text in zip(b.column("row").to_pylist(), b.column("same").to_pylist(), b.column("text")):
-                    if same not in seen:
+                    text = np.frombuffer(text.as_buffer(), np.uint8)
+                    if same not in seen or len(text) < length:  # below ``length``, copies are found by their runs alone
                         seen.add(same)
                         rows.append(row)
-                        texts.append(text.as_buffer().to_pybytes())
+                        texts.append(text)
                 rows = np.array(rows, np.int64)
-                for data, bounds, which, begin in _steps(texts, length):
-                    key, sub, start, n = _runs(data, length, bounds)
-                    of = np.searchsorted(bounds, start, "right") - 1
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(key), pa.array(sub), pa.array(rows[np.array(which)][of]), pa.array(start - bounds[of] + begin[of]),
-                        pa.array(n.astype(np.int32)),
-                    ], schema=_RUN)
-
-    texts = docs.where(F.octet_length("text") >= length).select("row", F.xxhash64("text").alias("same"), "text")
-    return texts.mapInArrow(find, "key long, sub long, row long, start long, n int")
-
-
-def _name_suffixes(opened: DataFrame, length: int) -> DataFrame:
+                for least in (length, words):
+                    if least is None:
+                        continue
+                    units = [_units(t, least is words) for t in texts]
+                    for buf, bounds, which, begin in _steps([u[0] for u in units], least):
+                        key, sub, start, n = _runs(buf, least, bounds)
+                        of = np.searchsorted(bounds, start, "right") - 1
+                        start = start - bounds[of] + begin[of]
+                        end = start + n + (least - 1)
+                        if least is words:
+                            cuts = np.searchsorted(of, np.arange(len(which) + 1))
+                            for i, a, z in zip(which, cuts, cuts[1:]):
+                                start[a:z], end[a:z] = units[i][1][start[a:z]], units[i][2][end[a:z] - 1]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(key), pa.array(sub), pa.array(rows[np.array(which)][of]), pa.array(start), pa.array(end)], schema=_RUN
+                        )
+
+    shortest = length if words is None else min(length, 2 * words - 1)
+    texts = docs.where(F.octet_length("text") >= shortest).select("row", F.xxhash64("text").alias("same"), "text")
+    return texts.mapInArrow(find, "key long, sub long, row long, start long, end long")
+
+
+def _name_suffixes(opened: DataFrame, length: int, words: int | None) -> DataFrame:
     """A row per suffix of the opened runs of each text."""
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for lo in range(0, whole.num_rows, 100):
                 b = whole.slice(lo, 100)
                 for row, text, runs in zip(b.column("row").to_pylist(), b.column("text"), b.column("runs").to_pylist()):
-                    data = text.as_buffer().to_pybytes()
+                    data = np.frombuffer(text.as_buffer(), np.uint8)
                     runs.sort(key=lambda r: r["start"])
-                    while runs:  # as many runs as lie within a step
-                        base = runs[0]["start"]
-                        held = 0
-                        while held < len(runs) and runs[held]["start"] + runs[held]["n"] + length <= base + 2 * STEP:
-                            held += 1
-                        take, runs = runs[:held], runs[held:]
-                        hashes = PrefixHash(np.frombuffer(data, np.uint8)[base:base + 2 * STEP])
-                        n = np.array([r["n"] for r in take])
-                        first = np.array([r["start"] for r in take]) - base
-                        start = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                        yield pa.RecordBatch.from_arrays([
-                            pa.array(np.repeat(np.array([r["key"] for r in take], np.int64), n)), pa.array(hashes.of(start, start + length).view(np.int64)),
-                            pa.array(np.full(len(start), row, np.int64)), pa.array(start + base), pa.array(np.repeat([r["open"] for r in take], n)),
-                        ], schema=_SUFFIX)
-
-    return opened.mapInArrow(name, "key long, name long, row long, start long, open boolean")
+                    for by_word, least in ((False, length), (True, words)):
+                        own = [r for r in runs if (r["key"] & 1 == 1) == by_word]
+                        if own:
+                            yield from of_kind(row, _units(data, by_word), own, least)
+
+    def of_kind(row, units, runs, least) -> Iterator[pa.RecordBatch]:
+        values, first, last = units
+        begin, end = np.array([r["start"] for r in runs]), np.array([r["end"] for r in runs])
+        if first is not None:
+            begin, end = np.searchsorted(first, begin), np.searchsorted(last, end) + 1
+        a = 0
+        while a < len(runs):  # as many runs as lie within a step
+            base = begin[a]
+            z = a + max(1, int(np.searchsorted(end[a:] > base + 2 * STEP, True)))
+            hashes = PrefixHash(values[base:base + 2 * STEP])
+            n = end[a:z] - begin[a:z] - (least - 1)
+            start = np.repeat(begin[a:z] - base - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            names = hashes.of(start, start + least).view(np.int64)
+            start = start + base
+            size = np.full(len(start), least) if first is None else last[start + least - 1] - first[start]
+            place = (start if first is None else first[start]) | (size << _FIRST)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.repeat(np.array([r["key"] for r in runs[a:z]], np.int64), n)), pa.array(names),
+                pa.array(np.full(len(start), row, np.int64)), pa.array(place), pa.array(np.repeat([r["open"] for r in runs[a:z]], n)),
+            ], schema=_SUFFIX)
+            a = z
+
+    return opened.mapInArrow(name, "key long, name long, row long, place long, open boolean")
 
 
 def row_of() -> Column:
@@ -163,13 +212,16 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", row_of().alias("row"), F.coalesce("text", F.lit("")).alias("text"))
 
 
-def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeats(docs: DataFrame, length: int = LENGTH, words: int | None = None) -> DataFrame:
     """``row, spans``: the repeated bytes of each document that has some, as (start, end) pieces that may overlap.
 
+    Repeated is what lies in a string of ``length`` bytes or, if given, in a passage of ``words`` words that also starts anywhere
+    else.  Words are parted by white space, of which the passages need not have the same.
+
     ``row`` is ``row_of``.  Rows that repeat both ``doc_id`` and ``text`` share it, and are copies of each other.
     """
     texts = _texts(docs)
-    runs = _find_runs(texts.select("row", "text"), length)
+    runs = _find_runs(texts.select("row", "text"), length, words)
 
     # Copies of whole texts: every byte is repeated.
     whole = texts.where(F.octet_length("text") >= length).select("row", F.md5("text").alias("copy"), F.octet_length("text").cast("long").alias("end"))
@@ -182,13 +234,16 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     subs = runs.groupBy("key", "sub").agg(F.count("*").alias("same"), F.min(F.struct("row", "start")).alias("one"))
     keys = subs.groupBy("key").agg(F.count("*").alias("subs"))
     held = runs.join(subs.join(keys, "key"), ["key", "sub"])
-    closed = held.where("same > 1").select("row", "start", (F.col("start") + F.col("n") + (length - 1)).alias("end"))
+    closed = held.where("same > 1").select("row", "start", "end")
     # Of runs that tie with each other, one is opened too, for the others of its bucket.
     to_open = held.where((F.col("subs") > 1) & ((F.col("same") == 1) | (F.struct("row", "start") == F.col("one"))))
-    to_open = to_open.groupBy("row").agg(F.collect_list(F.struct("key", "start", "n", (F.col("same") == 1).alias("open"))).alias("runs"))
-    suffixes = _name_suffixes(texts.join(to_open, "row"), length)
+    to_open = to_open.groupBy("row").agg(F.collect_list(F.struct("key", "start", "end", (F.col("same") == 1).alias("open"))).alias("runs"))
+    suffixes = _name_suffixes(texts.join(to_open, "row"), length, words)
     again = suffixes.groupBy("key", "name").agg(F.count("*").alias("count")).where("count > 1").select("key", "name")
-    open_ties = suffixes.where("open").join(again, ["key", "name"]).select("row", "start", (F.col("start") + length).alias("end"))
+    first = F.col("place").bitwiseAND((1 << _FIRST) - 1)
+    open_ties = suffixes.where("open").join(again, ["key", "name"]).select(
+        "row", first.alias("start"), (first + F.shiftright("place", _FIRST)).alias("end")
+    )
     pieces = closed.unionByName(open_ties).unionByName(whole)
     return pieces.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
@@ -235,15 +290,15 @@ def report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return joined.mapInArrow(digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def remove(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``docs`` with the repeated bytes taken out of ``text``, and ``n_chars``, if there, counted anew.
+def remove(docs: DataFrame, length: int = LENGTH, words: int | None = None) -> DataFrame:
+    """``docs`` with the repeated bytes taken out of ``text``, and ``n_chars``, if there, counted anew; see ``repeats``.
 
     A character that loses one of its bytes goes as a whole.  A document of which nothing is left is dropped; documents
     that were empty or null before are kept as they are.
     """
     columns = docs.columns
     key = "__row_of_document"
-    spans = repeats(docs, length).select(F.col("row").alias(key), F.col("spans").alias("__spans"))
+    spans = repeats(docs, length, words).select(F.col("row").alias(key), F.col("spans").alias("__spans"))
     joined = docs.withColumn(key, row_of()).join(spans, key, "left").drop(key)
     at = joined.columns.index("text")
 
