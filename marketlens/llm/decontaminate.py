@@ -4,9 +4,9 @@ A benchmark item leaks into a document if some window of the document, as many w
 similarity of ``PERCENT`` hundredths or more with it, over shingles of ``K`` words.  A shingle weighs its number of characters, and
 repeated shingles count as often as they stand: sum of the smaller weights over sum of the larger ones.
 
-1. Open the windows.  Similar texts share a shingle, so a window that shares none with an item can be skipped without loss.
-   The rolling shingle hashes of all documents are joined to those of the items; a hit at document word ``p`` and item word
-   ``q`` opens the item-sized window at ``p - q``.
+1. Open the windows.  A window that is similar enough shares ``PERCENT`` hundredths of the item's weight at least, in whatever
+   order.  The rolling shingle hashes of all documents are joined to those of the items, and a running sum over the hits of an
+   item in a document tells for every start how much weight its window can share.  All starts that reach the share are opened.
 2. Fingerprint.  Windows and items get a 64-bit SimHash, cut into ``RADIUS + 1`` blocks.  Two fingerprints at most ``RADIUS``
    bits apart agree in one block at least, so joining on (item, block, value) finds all of them.
 3. Verify.  Pairs within the radius are compared exactly.
@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import alnum_words, grams, parked
@@ -63,18 +63,44 @@ def _by_block(df: DataFrame, fingerprint: str, radius: int) -> DataFrame:
     return df.select("*", F.posexplode(F.array(*_blocks(fingerprint, radius))).alias("block", "value"))
 
 
-def _open_windows(words: DataFrame, asked: DataFrame, k: int) -> DataFrame:
-    """``row, item, start``: the item-sized windows that share a shingle with their item."""
+def _weight(shingles: Column) -> Column:
+    return F.aggregate(shingles, F.lit(0).cast("long"), lambda a, x: a + x["w"])
+
+
+def _open_windows(words: DataFrame, asked: DataFrame, k: int, percent: int) -> DataFrame:
+    """``row, item, n_item, start, held, total``: the item-sized windows whose hits may weigh enough.
+
+    ``held`` is the weight of a window's shingles that the item has too, ``total`` the weight of the item.
+    """
     lengths = [r[0] for r in asked.where(F.col("n_item") < k).select("n_item").distinct().collect()] + [k]
     opened = []
     for n in lengths:
         own = asked.where((F.col("n_item") >= k) if n == k else (F.col("n_item") == n))
-        own = own.select("item", "n_item", F.posexplode(grams(F.col("item_words"), n)).alias("q", "gram"))
+        own = own.select("item", "n_item", F.posexplode(_shingles(F.col("item_words"), n)).alias("q", "of"), grams(F.col("item_words"), n).alias("grams"))
+        own = own.select("item", "n_item", F.col("of.w").alias("w"), F.get("grams", F.col("q")).alias("gram"))
+        own = own.groupBy("item", "n_item", "gram").agg(F.first("w").alias("w"), F.count("*").alias("times"))
+        totals = own.groupBy("item").agg(F.sum(F.col("w") * F.col("times")).alias("total"))
+        own = own.join(totals, "item")
         rolled = words.select("row", F.size("words").alias("n_doc"), F.posexplode(grams(F.col("words"), n)).alias("p", "gram"))
-        # A window that would leave the document is moved to its border; a shorter document is one window.
-        start = F.greatest(F.lit(0), F.least(F.col("p") - F.col("q"), F.col("n_doc") - F.col("n_item")))
-        opened.append(rolled.join(own, "gram").select("row", "item", "n_item", start.alias("start")))
-    return reduce(DataFrame.unionByName, opened).distinct()
+        hits = rolled.join(own, "gram").withColumn("n_hits", F.col("n_item") - n + 1)  # places for hits in a window
+        opened.append(hits.select("row", "item", "n_item", "n_doc", "total", "n_hits", "gram", "w", "times", "p"))
+    key = ["row", "item", "n_item", "n_doc", "total", "n_hits"]
+    # Repeated rows hit the same places.
+    hits = reduce(DataFrame.unionByName, opened).groupBy(*key, "gram", "w", "times").agg(F.collect_set("p").alias("ps"))
+    most = F.sum(F.col("w") * F.least(F.size("ps"), F.col("times")))
+    hits = hits.groupBy(*key).agg(most.alias("most"), F.collect_list(F.struct("ps", "w")).alias("hits"))
+    hits = hits.where(100 * F.col("most") >= percent * F.col("total")).select(*key, F.inline("hits")).select(*key, "w", F.explode("ps").alias("p"))
+    # A hit is in the windows from p - n_hits + 1 to p.
+    edges = hits.select(*key, F.inline(F.array(
+        F.struct((F.col("p") - F.col("n_hits") + 1).alias("at"), F.col("w").alias("step")),
+        F.struct((F.col("p") + 1).alias("at"), (-F.col("w")).alias("step")),
+    )))
+    by_start = Window.partitionBy(*key).orderBy("at")
+    edges = edges.select(*key, F.greatest(F.lit(0), "at").alias("first"), F.sum("step").over(by_start).alias("held"), F.lead("at").over(by_start).alias("next"))
+    # No window leaves the document; a shorter document is one window.
+    last = F.least(F.col("next") - 1, F.greatest(F.lit(0), F.col("n_doc") - F.col("n_item")))
+    edges = edges.withColumn("last", last).where((F.col("first") <= F.col("last")) & (F.col("held") > 0) & (100 * F.col("held") >= percent * F.col("total")))
+    return edges.select("row", "item", "n_item", F.explode(F.sequence("first", "last")).alias("start"), "held", "total")
 
 
 def _similarity(pairs: DataFrame) -> DataFrame:
@@ -98,15 +124,19 @@ def matches(docs: DataFrame, items: DataFrame, percent: int = PERCENT, k: int =
     asked = items.select("item_id", alnum_words(F.coalesce("text", F.lit(""))).alias("item_words")).where(F.size("item_words") > 0)
     asked = asked.select("*", F.xxhash64("item_id", "item_words").alias("item"), F.size("item_words").alias("n_item")).dropDuplicates(["item"])
     text = docs.select(row_of().alias("row"), F.coalesce("text", F.lit("")).alias("text"))
-    opened = _open_windows(text.select("row", alnum_words(F.col("text")).alias("words")), asked, k)
+    opened = _open_windows(text.select("row", alnum_words(F.col("text")).alias("words")), asked, k, percent)
 
-    # The windows of a document travel as one row, so that its text is joined once.
-    marks = parked(opened.groupBy("row").agg(F.collect_list(F.struct("item", "start", "n_item")).alias("marks")), "marks")
-    opened_text = text.join(marks, "row").select("row", "marks", alnum_words(F.col("text")).alias("words"))
+    # The windows of a document travel as one row, so that its text is joined once; by sorting at any size, as there may be
+    # as many windows as a broadcast cannot hold.
+    marks = parked(opened.groupBy("row").agg(F.collect_list(F.struct("item", "start", "n_item", "held", "total")).alias("marks")), "marks")
+    opened_text = text.join(marks.hint("merge"), "row").select("row", "marks", alnum_words(F.col("text")).alias("words"))
     windows = opened_text.select("row", F.inline(F.transform("marks", lambda m: F.struct(
-        m["item"].alias("item"), m["start"].alias("start"),
+        m["item"].alias("item"), m["start"].alias("start"), m["held"].alias("held"), m["total"].alias("total"),
         _shingles(F.slice("words", m["start"] + 1, m["n_item"]), k).alias("shingles"),
     ))))
+    # Shared weight is at most ``held``, and the whole is both sides without what they share.
+    both = _weight(F.col("shingles")) + F.col("total")
+    windows = windows.where((100 + percent) * F.col("held") >= percent * both).select("row", "item", "start", "shingles")
     windows = windows.select("*", _simhash(F.col("shingles")).alias("print"))
     asked = asked.select("item", "item_id", "n_item", _shingles(F.col("item_words"), k).alias("item_shingles"))
     asked = asked.select("*", _simhash(F.col("item_shingles")).alias("item_print"))
