@@ -4,65 +4,161 @@ A known word gives each language its log frequency there.  A word that no langua
 character n-grams, from ``LONGEST`` letters down to one.  Each word's scores are turned into shares that sum to one, and a
 document belongs to the language with the largest sum of log shares over all its words.
 
-The model is fitted on about ``DOCS_PER_LANGUAGE`` labelled documents of each language, a documented bound; it is a table of at
-most ``WORDS`` words and ``GRAMS`` n-grams of each length a language, so it is small enough to travel with the tasks whatever
-the size of the corpus.  Prediction reads every whole text once and shuffles nothing.
+The model is fitted on about ``DOCS_PER_LANGUAGE`` labelled documents of each language, a documented bound, and keeps all that
+they hold, so its size has a bound too, whatever the size of the corpus.  Prediction reads every whole text once and shuffles
+nothing.  Only the texts go to Python; there, equal words of some ``STEP`` bytes of texts meet in a dictionary and are scored
+once, together.  Nothing is remembered from one step to the next.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+import regex
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+
+from .common import fresh
+from .prefix_hash import mixed
 
 DOCS_PER_LANGUAGE = 2_000
-WORDS = 10_000
-GRAMS = 5_000
 LONGEST = 5
 UNKNOWN = "und"
-#: Words with remembered scores, a worker; beyond, it starts anew.
-REMEMBER = 1 << 19
+#: Bytes of text that are handled at a time, unless a single text is longer; and unseen words.
+STEP, WORDS_STEP = 4_000_000, 50_000
 
 #: A word is a run of letters.
-WORD = re.compile(r"[^\W\d_]+")
+LETTERS = regex.compile(r"\p{L}+")
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+#: Bytes that can be part of a letter.
+_LETTER = np.array([chr(b).isalpha() if b < 128 else True for b in range(256)])
 
 
 class Model:
-    """Log frequencies by language: ``words`` by word, ``grams[n]`` by n-gram; a row of ``table`` each, the last for the unseen."""
+    """Log shares by language: ``word_logs`` has a row for each of ``words``, ``gram_logs[n]`` one for each of ``gram_keys[n]``."""
 
-    def __init__(self, languages: list[str], counts: pd.DataFrame):
+    def __init__(self, languages: list[str], counts: pa.Table | None = None):
+        """``counts``: columns ``lang, n, key, count``; ``n`` is 0 for words and the length of n-grams."""
         self.languages = languages
-        at = {x: i for i, x in enumerate(languages)}
-        self.words: dict[str, np.ndarray] = {}
-        self.grams: list[dict[str, np.ndarray]] = [{} for _ in range(LONGEST + 1)]
-        for n, part in counts.groupby("n"):
-            keys = {k: i for i, k in enumerate(part["key"].unique())}
-            seen = np.zeros((len(keys), len(languages)))
-            seen[[keys[k] for k in part["key"]], [at[x] for x in part["lang"]]] = part["count"]
+        self.words = pa.array([], pa.large_string())
+        self.word_logs = np.zeros((0, len(languages)), np.float32)
+        self.gram_keys: dict[int, np.ndarray] = {}
+        self.gram_logs: dict[int, np.ndarray] = {}
+        for n in pc.unique(counts["n"]).to_pylist() if counts is not None else ():
+            part = counts.filter(pc.equal(counts["n"], n))
+            known = part["key"].combine_chunks().cast(pa.large_string()).dictionary_encode()
+            lang = pc.index_in(part["lang"].combine_chunks(), value_set=pa.array(languages)).to_numpy()
+            seen = np.zeros((len(known.dictionary), len(languages)))
+            np.add.at(seen, (known.indices.to_numpy(), lang), part["count"].to_numpy())
             # Half an occurrence for what a language lacks, so that a score stays finite.
-            logs = np.log((seen + 0.5) / (seen.sum(axis=0) + 0.5 * len(keys)))
-            logs -= np.logaddexp.reduce(logs, axis=1, keepdims=True)
-            to = self.words if n == 0 else self.grams[n]
-            to.update({k: logs[i] for k, i in keys.items()})
-
-    def score(self, word: str) -> np.ndarray:
-        """Log shares of the languages for one word in lower case; zeros if nothing of it is known."""
-        found = self.words.get(word)
-        if found is not None:
-            return found
-        marked = f" {word} "
-        for n in range(min(LONGEST, len(marked)), 0, -1):
-            known = self.grams[n]
-            hits = [known[g] for g in (marked[i:i + n] for i in range(len(marked) - n + 1)) if g in known]
-            if hits:
-                return np.mean(hits, axis=0)
-        return np.zeros(len(self.languages))
+            logs = np.log((seen + 0.5) / (seen.sum(axis=0) + 0.5 * len(seen)))
+            logs = (logs - np.logaddexp.reduce(logs, axis=1, keepdims=True)).astype(np.float32)
+            if n == 0:
+                self.words, self.word_logs = known.dictionary, logs
+            else:
+                keys = _gram_keys(_codes(known.dictionary.to_pylist()), n)[n][::n]
+                order = np.argsort(keys)
+                self.gram_keys[n], self.gram_logs[n] = keys[order], logs[order]
+
+    def score(self, words: list[str]) -> np.ndarray:
+        """Log shares of the languages, a row for each word in lower case; zeros if nothing of it is known."""
+        out = np.zeros((len(words), len(self.languages)))
+        at = pc.index_in(pa.array(words, pa.large_string()), value_set=self.words)
+        seen = at.is_valid().to_numpy(zero_copy_only=False)
+        out[seen] = self.word_logs[at.drop_null().to_numpy()]
+        rest = np.flatnonzero(~seen)
+        for a in range(0, len(rest), WORDS_STEP):
+            part = rest[a:a + WORDS_STEP]
+            out[part] = self._back_off([words[i] for i in part])
+        return out
+
+    def _back_off(self, words: list[str]) -> np.ndarray:
+        """The mean over each word's longest known n-grams."""
+        out = np.zeros((len(words), len(self.languages)))
+        codes = _codes([f" {w} " for w in words])
+        sizes = np.array([len(w) + 2 for w in words])
+        end = np.cumsum(sizes)
+        owner = np.repeat(np.arange(len(words)), sizes)
+        left = np.repeat(end, sizes) - np.arange(len(codes))  # characters up to the end of the word
+        keys = _gram_keys(codes, LONGEST)
+        waits = np.ones(len(words), bool)
+        for n in sorted(self.gram_keys, reverse=True):
+            i = np.flatnonzero((left >= n) & waits[owner])
+            at = np.searchsorted(self.gram_keys[n], keys[n][i])
+            at[at == len(self.gram_keys[n])] = 0
+            hit = self.gram_keys[n][at] == keys[n][i]
+            own, at = owner[i[hit]], at[hit]
+            if len(own):
+                first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+                total = np.add.reduceat(self.gram_logs[n][at], first, axis=0, dtype=np.float64)
+                out[own[first]] = total / np.diff(np.append(first, len(own)))[:, None]
+                waits[own[first]] = False
+        return out
+
+    def guess(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
+        """Language and score of each text."""
+        names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
+        if not self.languages:
+            return names, scores
+        texts = pc.utf8_lower(texts.cast(pa.large_string()).fill_null(""))
+        sizes = np.cumsum(pc.binary_length(texts).to_numpy())
+        a = 0
+        while a < len(texts):
+            b = max(a + 1, int(np.searchsorted(sizes, (sizes[a - 1] if a else 0) + STEP, "right")))
+            total, n = self._totals(texts.slice(a, b - a))
+            best = np.argmax(total, axis=1)  # ties: the first language by name
+            scores[a:b] = np.where(n > 0, 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1), 0)
+            names[a:b] = [self.languages[i] if known else UNKNOWN for i, known in zip(best, n)]
+            a = b
+        return names, scores
+
+    def _totals(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The sum of the scores of each text's words, and their number."""
+        _, offsets, data = texts.buffers()
+        bounds = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+        total, n = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts), np.int64)
+        if bounds[0] == bounds[-1]:
+            return total, n
+        buf = np.frombuffer(data, np.uint8)[bounds[0]:bounds[-1]]
+        bounds = bounds - bounds[0]
+        # Runs of what can be letters; only those beyond ASCII have to be looked at again.
+        letter = _LETTER[buf]
+        new = np.append(True, ~letter[:-1])
+        new[bounds[:-1][bounds[:-1] < len(buf)]] = True
+        start = np.flatnonzero(letter & new)
+        packed = buf[letter]
+        upto = np.append(np.cumsum(letter)[start] - 1, len(packed)).astype(np.int64)
+        runs = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(upto), pa.py_buffer(packed)).dictionary_encode()
+        words, owner = [], []
+        for i, run in enumerate(runs.dictionary.to_pylist()):
+            own = [run] if run.isascii() else LETTERS.findall(run)
+            words += own
+            owner += [i] * len(own)
+        owner = np.array(owner, np.int64)
+        score, count = np.zeros((len(runs.dictionary), len(self.languages))), np.bincount(owner, minlength=len(runs.dictionary))
+        np.add.at(score, owner, self.score(words))
+        place = runs.indices.to_numpy()
+        cut = np.searchsorted(start, bounds)
+        some = np.flatnonzero(cut[1:] > cut[:-1])
+        if len(some):
+            total[some] = np.add.reduceat(score[place], cut[some], axis=0)
+            n[some] = np.add.reduceat(count[place], cut[some])
+        return total, n
+
+
+def _codes(words: list[str]) -> np.ndarray:
+    return np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.uint64)
+
+
+def _gram_keys(codes: np.ndarray, longest: int) -> dict[int, np.ndarray]:
+    """64-bit names of the n-grams that begin at each character, by length; every character is mixed in on its own."""
+    keys = {1: mixed(codes + _ODD)}
+    for n in range(2, longest + 1):
+        keys[n] = mixed(keys[n - 1][:max(0, len(codes) - n + 1)] * _ODD + codes[n - 1:])
+    return keys
 
 
 def held_out(doc_id: Column) -> Column:
@@ -78,7 +174,7 @@ def fit(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE) -> Model:
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "text", "lang")
     sizes = {r[0]: r[1] for r in usable.groupBy("lang").count().collect()}
     if not sizes:
-        return Model([], pd.DataFrame({"n": [], "key": [], "lang": [], "count": []}))
+        return Model([])
     spread = 1 << 30
     share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(spread, spread * docs_per_language // n))])
     drawn = usable.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(spread)) < share[F.col("lang")])
@@ -94,37 +190,23 @@ def fit(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE) -> Model:
     ]))
     grams = words.select("lang", "count", F.explode(cuts).alias("gram")).groupBy("lang", "gram.n", "gram.key").agg(F.sum("count").alias("count"))
     counts = words.select("lang", F.lit(0).alias("n"), "key", "count").unionByName(grams)
-    # Only the most frequent entries go to the driver: at most WORDS + LONGEST * GRAMS a language.
-    rank = F.row_number().over(Window.partitionBy("lang", "n").orderBy(F.desc("count"), "key"))
-    top = counts.withColumn("rank", rank).where(F.col("rank") <= F.when(F.col("n") == 0, WORDS).otherwise(GRAMS)).drop("rank")
-    return Model(sorted(sizes), top.toPandas())
-
-
-def _guess(model: Model, texts: list[str | None], cache: dict[str, int], rows: list[np.ndarray]) -> tuple[list[str], list[float]]:
-    """``cache`` and ``rows`` remember the scores of words."""
-    names, scores = [], []
-    for text in texts:
-        words = WORD.findall((text or "").lower())
-        if not words or not model.languages:
-            names.append(UNKNOWN)
-            scores.append(0.0)
-            continue
-        if len(rows) > REMEMBER:
-            cache.clear()
-            rows.clear()
-        at = [cache.get(w, -1) for w in words]
-        for i, (a, w) in enumerate(zip(at, words)):
-            if a < 0:
-                if w not in cache:
-                    cache[w] = len(rows)
-                    rows.append(model.score(w))
-                at[i] = cache[w]
-        distinct, n = np.unique(at, return_counts=True)
-        total = n @ np.array([rows[i] for i in distinct])
-        best = int(np.argmax(total))
-        names.append(model.languages[best])
-        scores.append(float(1 / np.exp(total - total[best]).sum()))
-    return names, scores
+    # What the drawn documents hold, whatever the size of the corpus.
+    return Model(sorted(sizes), counts.toArrow())
+
+
+def told(text: Column, model: Model, spark: SparkSession) -> Column:
+    """Struct ``lang, score`` of a text.
+
+    Not deterministic by declaration, or a filter on the result would be pushed below it and predict once more.
+    """
+    bound = spark.sparkContext.broadcast(model)
+
+    def guess(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            names, scores = bound.value.guess(texts)
+            yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["lang", "score"])
+
+    return F.arrow_udf(guess, "lang string, score double", F.ArrowUDFType.SCALAR_ITER).asNondeterministic()(text)
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
@@ -135,21 +217,10 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     already have one of the two names are replaced.
     """
     docs = docs.drop("lang_pred", "lang_score")
-    bound = docs.sparkSession.sparkContext.broadcast(model)
-
-    def guess(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, rows = {}, []
-        for whole in batches:
-            for lo in range(0, whole.num_rows, 1000):
-                batch = whole.slice(lo, 1000)
-                names, scores = _guess(bound.value, batch.column("text").to_pylist(), cache, rows)
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                    names=[*batch.schema.names, "lang_pred", "lang_score"],
-                )
-
-    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("lang_score", DoubleType())])
-    return docs.mapInArrow(guess, schema)
+    own = fresh(docs, "told")
+    return docs.withColumn(own, told(F.col("text"), model, docs.sparkSession)).select(
+        *docs.columns, F.col(f"{own}.lang").alias("lang_pred"), F.col(f"{own}.score").alias("lang_score")
+    )
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -162,6 +233,6 @@ def identify(docs: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """The documents whose language can be told, with the columns of ``docs`` as they are, whatever their names."""
-    own = {c: f"__own_{c}" for c in ("lang_pred", "lang_score") if c in docs.columns}
-    told = predict(docs.withColumnsRenamed(own), fit(docs)).where((F.col("lang_pred") != UNKNOWN) & (F.col("lang_score") >= least))
-    return told.drop("lang_pred", "lang_score").withColumnsRenamed({new: c for c, new in own.items()}).select(*docs.columns)
+    own = fresh(docs, "told")
+    marked = docs.withColumn(own, told(F.col("text"), fit(docs), docs.sparkSession))
+    return marked.where((F.col(f"{own}.lang") != UNKNOWN) & (F.col(f"{own}.score") >= least)).drop(own)

@@ -11,7 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
-from test_brute_force import alnum, brute_classes, brute_leaks, brute_repeats, shingles
+from test_brute_force import alnum, brute_classes, brute_languages, brute_leaks, brute_repeats, shingles
 from tokenizers import Tokenizer
 
 from marketlens.llm import decontaminate, html_text, jaccard_join, language_id, license_scan, packing, quality_rules, suffix_dedup, token_store, url_filter
@@ -205,6 +205,34 @@ def test_language(spark):
     assert language_id.identify(frame(spark, [])).count() == 0
 
 
+def test_language_odd_texts(spark):
+    """Nulls, signs that are no letters, letters nobody learned, very long and tied texts with a fitted model."""
+    learned = [(i, f"the house and the garden of the people number {i}", "en") for i in range(40)]
+    learned += [(100 + i, f"das Haus und der Garten von den Leuten Nummer {i}", "de") for i in range(40)]
+    odd = [(200, None), (201, ""), (202, "½ ² ③ 12 _ !?"), (203, "漢字"), (204, "x" * 300_000), (205, "garden " * 200_000), (206, "die\x00häuser²garten"),
+           (207, "the das"), (None, "den Garten"), (205, "garden " * 200_000), (208, "E\u0301 i\u0307 İ"), (209, "q")]
+    rows = learned + [(i, t, None) for i, t in odd]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    expected = collections.defaultdict(list)
+    for i, own in brute_languages(rows):
+        expected[i].append(own)
+    found = listed(language_id.identify(docs))
+    assert len(found) == len(rows)
+    for r in found:
+        own = expected[r["doc_id"]][0]
+        assert own[r["lang_pred"]] >= max(own.values()) - 1e-3 and abs(own[r["lang_pred"]] - r["score"]) < 1e-3, r
+    by = {r["doc_id"]: r for r in found}
+    assert [by[i]["lang_pred"] for i in (200, 201, 202)] == ["und"] * 3
+    assert by[203]["lang_pred"] in ("de", "en")
+
+
+def test_language_tie(spark):
+    rows = [(1, "one text", "b"), (2, "one text", "a"), (3, "one text", None)]
+    assert [zlib.crc32(str(i).encode()) % 5 > 0 for i in (1, 2)] == [True, True]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {(r["lang_pred"], r["score"]) for r in listed(language_id.identify(docs))} == {("a", 0.5)}
+
+
 @pytest.mark.parametrize("length", [20, 400])
 def test_suffix_report(spark, length):
     rng = random.Random(length)
