@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,12 +25,29 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+_places: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def parked(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a table in the shared folder: lineage ends there, and losing an executor loses nothing."""
+    """The rows as a table in the shared folder: lineage ends there, and losing an executor loses nothing.
+
+    Whoever parks a table discards it when nothing that is still to be computed reads it.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _places[out] = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that ``parked`` made; others are left alone."""
+    for df in tables:
+        place = _places.pop(df, None)
+        if place:
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(place)
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def blank_words(text: Column) -> Column:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import parked
+from .common import discard, fresh, parked
 from .components import components
 from .prefix_hash import PrefixHash, mixed
 
@@ -232,9 +232,9 @@ def _query_groups(opened: DataFrame, members: DataFrame, texts: DataFrame, k: in
     return rows.groupBy(*group, "part").applyInPandas(answer, "a long, b long")
 
 
-def _ranked(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """``nodes`` with the class that the links put them in and its size."""
-    found = nodes.join(components(links), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+def _ranked(nodes: DataFrame, comps: DataFrame) -> DataFrame:
+    """``nodes`` with their class, the node itself if links put it in none, and the size of the class."""
+    found = nodes.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     return found.join(found.groupBy("comp").agg(F.count("*").alias("size")), "comp")
 
 
@@ -258,7 +258,7 @@ def classes(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
     # Both sides grow with the corpus, so this is a sort-merge join at any size.
     held = parked(nodes.join(texts.hint("merge"), "row").select("node", "text").dropDuplicates(["node"]), "texts")
 
-    shared = shared.join(nodes.select("node", "n"), "node")
+    rows_shared, shared = shared, shared.join(nodes.select("node", "n"), "node")
     leads = shared.where("node <> lead").groupBy("node", "n", "lead").agg(F.count("*").alias("tokens"))
     leads = leads.join(nodes.select(F.col("node").alias("lead"), F.col("n").alias("lead_n")), "lead")
     enough = F.col("tokens") >= F.least(_extra_of(F.col("n")), _extra_of(F.col("lead_n")))
@@ -268,7 +268,9 @@ def classes(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
     near = parked(_compare(pairs, held, k, percent), "near")
 
     # Sets left alone are compared once more, with a member of the largest class that they share enough tokens with.
-    found = _ranked(nodes, near)
+    first = near
+    by_lead = components(near)
+    found = _ranked(nodes, by_lead)
     placed = shared.select("token", "node").join(found, "node")
     head = F.struct("size", "comp", F.xxhash64("node", F.lit("head")).alias("draw"), "node", "n")
     heads = placed.where("size > 1").groupBy("token").agg(F.max(head).alias("head"))
@@ -279,10 +281,11 @@ def classes(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
     near = parked(near.unionByName(_compare(again, held, k, percent)), "near")
 
     # Groups: sets whose leaders chain together, in pieces.
-    clusters = _ranked(nodes.select("node"), pairs).select(
+    by_pair, by_near = components(pairs), components(near)
+    clusters = _ranked(nodes.select("node"), by_pair).select(
         "node", F.col("comp").alias("cluster"), F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / GROUP)).alias("piece")
     )
-    found = parked(_ranked(nodes, near).join(clusters, "node"), "found")
+    found = parked(_ranked(nodes, by_near).join(clusters, "node"), "found")
     placed = shared.select("token", "node").join(found, "node")
     rank = F.struct("size", "comp")
     matrix = placed.groupBy("token", "cluster", "piece").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max(rank).alias("top"))
@@ -296,9 +299,11 @@ def classes(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
     far = _query_groups(opened, found.select("cluster", "piece", "node", "size", "comp"), held, k, percent)
 
     final = components(near.unionByName(far))
-    return sets.select("doc_id", "row", F.col("n").alias("n_shingles"), "node").join(final, "node", "left").select(
+    out = parked(sets.select("doc_id", "row", F.col("n").alias("n_shingles"), "node").join(final, "node", "left").select(
         "doc_id", "row", "n_shingles", "node", F.coalesce("comp", "node").alias("comp")
-    )
+    ), "classes")
+    discard(sets, rows_shared, nodes, held, pairs, first, near, by_lead, by_pair, by_near, found, opened, final)
+    return out
 
 
 def row_of() -> Column:
@@ -322,9 +327,14 @@ def report(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
-    """One document of each class, the one with the smallest id, and every document without words; columns as in ``docs``."""
+    """One document of each class, the one with the smallest id, and every document without words; columns as in ``docs``.
+
+    Rows that repeat both ``doc_id`` and ``text`` are one document; if they differ elsewhere, the one with the smallest hash of
+    all columns stays.
+    """
     found = classes(docs, k, percent)
     kept = found.groupBy(F.col("comp"), F.when(F.col("comp").isNull(), F.col("row"))).agg(F.min(F.struct("doc_id", "row")).alias("one"))
-    key = "__row_of_document"
-    marked = docs.withColumn(key, row_of())
-    return marked.join(kept.select(F.col("one.row").alias(key)), key, "left_semi").dropDuplicates([key]).select(*docs.columns)
+    key = fresh(docs, "row_of")
+    marked = docs.withColumn(key, row_of()).join(kept.select(F.col("one.row").alias(key)), key, "left_semi")
+    one = F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("one")
+    return marked.groupBy(key).agg(one).select("one.*")

@@ -26,25 +26,29 @@ two at a time (bucket and run, bucket and suffix).  The result is exact, not a s
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import parked
+from .common import discard, fresh, parked
 from .prefix_hash import PrefixHash, mixed
 
 LENGTH = 400
+#: A passage of over 50 words.
+WORDS = 51
 CLASS = 128
+#: Kinds of spans.
+BYTES, WITHIN, ELSEWHERE, WHOLE = range(4)
 #: The same for words.
 WORD_CLASS = 21
 #: Bytes of text hashed at a time; a longer text is cut into overlapping steps.
 STEP = 1 << 19
 _PLACE = (1 << 20) - 1
 _RUN = pa.schema([("key", pa.int64()), ("sub", pa.int64()), ("row", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
-_SUFFIX = pa.schema([("key", pa.int64()), ("name", pa.int64()), ("row", pa.int64()), ("place", pa.int64()), ("open", pa.bool_())])
+_SUFFIX = pa.schema([("key", pa.int64()), ("name", pa.int64()), ("row", pa.int64()), ("place", pa.int64()), ("open", pa.bool_()), ("others", pa.bool_())])
 #: A suffix's place is its first byte and, above these bits, its size.
 _FIRST = 32
 
@@ -197,10 +201,11 @@ def _name_suffixes(opened: DataFrame, length: int, words: int | None) -> DataFra
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.repeat(np.array([r["key"] for r in runs[a:z]], np.int64), n)), pa.array(names),
                 pa.array(np.full(len(start), row, np.int64)), pa.array(place), pa.array(np.repeat([r["open"] for r in runs[a:z]], n)),
+                pa.array(np.repeat([r["others"] for r in runs[a:z]], n)),
             ], schema=_SUFFIX)
             a = z
 
-    return opened.mapInArrow(name, "key long, name long, row long, place long, open boolean")
+    return opened.mapInArrow(name, "key long, name long, row long, place long, open boolean, others boolean")
 
 
 def row_of() -> Column:
@@ -213,7 +218,10 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, words: int | None = None) -> DataFrame:
-    """``row, spans``: the repeated bytes of each document that has some, as (start, end) pieces that may overlap.
+    """``row, spans``: the repeated bytes of each document that has some, as (kind, start, end).
+
+    ``kind`` is ``BYTES`` for strings, ``ELSEWHERE`` for passages that another document has too, ``WITHIN`` for those that only
+    stand more than once in their own, and ``WHOLE`` for a text of which there are copies.  Spans of one kind don't touch.
 
     Repeated is what lies in a string of ``length`` bytes or, if given, in a passage of ``words`` words that also starts anywhere
     else.  Words are parted by white space, of which the passages need not have the same.
@@ -224,34 +232,66 @@ def repeats(docs: DataFrame, length: int = LENGTH, words: int | None = None) ->
     runs = _find_runs(texts.select("row", "text"), length, words)
 
     # Copies of whole texts: every byte is repeated.
-    whole = texts.where(F.octet_length("text") >= length).select("row", F.md5("text").alias("copy"), F.octet_length("text").cast("long").alias("end"))
+    least = length if words is None else min(length, 2 * words - 1)
+    whole = texts.where(F.octet_length("text") >= least).select("row", F.md5("text").alias("copy"), F.octet_length("text").cast("long").alias("end"))
     copied = whole.groupBy("copy").count().where("count > 1").select("copy")
-    whole = whole.join(copied, "copy").select("row", F.lit(0).cast("long").alias("start"), "end").distinct()
+    whole = whole.join(copied, "copy").select("row", F.lit(WHOLE).alias("kind"), F.lit(0).cast("long").alias("start"), "end").distinct()
 
     # Most buckets hold one run; only the runs of the others are written.
     several = runs.groupBy("key").count().where("count > 1").select("key")
     runs = parked(runs.join(several, "key"), "runs")
-    subs = runs.groupBy("key", "sub").agg(F.count("*").alias("same"), F.min(F.struct("row", "start")).alias("one"))
-    keys = subs.groupBy("key").agg(F.count("*").alias("subs"))
-    held = runs.join(subs.join(keys, "key"), ["key", "sub"])
-    closed = held.where("same > 1").select("row", "start", "end")
-    # Of runs that tie with each other, one is opened too, for the others of its bucket.
-    to_open = held.where((F.col("subs") > 1) & ((F.col("same") == 1) | (F.struct("row", "start") == F.col("one"))))
-    to_open = to_open.groupBy("row").agg(F.collect_list(F.struct("key", "start", "end", (F.col("same") == 1).alias("open"))).alias("runs"))
+    subs = runs.groupBy("key", "sub").agg(
+        F.count("*").alias("same"), F.min(F.struct("row", "start")).alias("one"), (F.min("row") < F.max("row")).alias("others")
+    )
+    # Joined by bucket and run, so that a bucket that a third of the corpus shares is spread; copies of a run are one row here.
+    held = runs.join(subs, ["key", "sub"])
+    by_word = F.col("key").bitwiseAND(1) == 1
+    kind = F.when(~by_word, BYTES).otherwise(F.when(F.col("others"), ELSEWHERE).otherwise(WITHIN))
+    closed = held.where("same > 1").select("row", kind.alias("kind"), "start", "end")
+    # Of runs that tie with each other, one is opened too, for the others of its bucket.  Words that only one document repeats
+    # are opened wherever they stand, as each may be found in another document yet.
+    alone = (F.col("same") == 1) | (by_word & ~F.col("others"))
+    mixed_keys = runs.groupBy("key").agg(F.min("sub").alias("a"), F.max("sub").alias("b")).where("a < b").select("key")
+    to_open = held.where(alone | (F.struct("row", "start") == F.col("one"))).join(mixed_keys, "key", "left_semi")
+    to_open = to_open.groupBy("row").agg(F.collect_list(F.struct("key", "start", "end", alone.alias("open"), "others")).alias("runs"))
     suffixes = _name_suffixes(texts.join(to_open, "row"), length, words)
-    again = suffixes.groupBy("key", "name").agg(F.count("*").alias("count")).where("count > 1").select("key", "name")
+    again = suffixes.groupBy("key", "name").agg(
+        F.count("*").alias("count"), ((F.min("row") < F.max("row")) | F.bool_or("others")).alias("others")
+    ).where("count > 1").select("key", "name", "others")
     first = F.col("place").bitwiseAND((1 << _FIRST) - 1)
-    open_ties = suffixes.where("open").join(again, ["key", "name"]).select(
-        "row", first.alias("start"), (first + F.shiftright("place", _FIRST)).alias("end")
+    open_ties = suffixes.where("open").drop("others").join(again, ["key", "name"]).select(
+        "row", kind.alias("kind"), first.alias("start"), (first + F.shiftright("place", _FIRST)).alias("end")
     )
     pieces = closed.unionByName(open_ties).unionByName(whole)
-    return pieces.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-
-
-def _merged(spans: list[dict] | None) -> list[tuple[int, int]]:
+    # Pieces that overlap or touch are merged by a sorted sweep, which spills; only maximal ones are gathered.
+    sweep = Window.partitionBy("row", "kind").orderBy("start", "end")
+    reach = F.max("end").over(sweep.rowsBetween(Window.unboundedPreceding, -1))
+    marked = pieces.select("*", F.when(F.col("start") <= reach, 0).otherwise(1).alias("new"))
+    marked = marked.select("*", F.sum("new").over(sweep.rowsBetween(Window.unboundedPreceding, 0)).alias("run"))
+    merged = marked.groupBy("row", "kind", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    spans = parked(merged.groupBy("row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("spans")), "spans")
+    discard(runs)
+    return spans
+
+
+def _told(text: bytes, spans: list[dict] | None, length: int, words: int | None) -> Iterator[tuple[int, int, int]]:
+    """The spans as kind, start and end, with what a copy of a whole text means for its bytes and its words."""
+    for s in spans or ():
+        if s["kind"] != WHOLE:
+            yield s["kind"], s["start"], s["end"]
+            continue
+        if len(text) >= length:
+            yield BYTES, 0, len(text)
+        if words is not None:
+            _, first, last = _units(np.frombuffer(text, np.uint8), True)
+            if len(first) >= words:
+                yield ELSEWHERE, int(first[0]), int(last[-1])
+
+
+def _merged(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     """Maximal runs."""
     out: list[list[int]] = []
-    for a, b in sorted((s["start"], s["end"]) for s in spans or ()):
+    for a, b in sorted(spans):
         if out and a <= out[-1][1]:
             out[-1][1] = max(out[-1][1], b)
         else:
@@ -267,27 +307,41 @@ def _rest(data: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*kept, data[at:]])
 
 
-def report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for every row of ``doc_id`` and ``text``.
+def report(docs: DataFrame, length: int = LENGTH, words: int = WORDS) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_passages, n_passage_bytes`` for every row of ``doc_id`` and ``text``.
 
     A byte is removed if a string of ``length`` bytes that covers it also starts anywhere else, in the same document or
-    another; overlaps count, and matches never cross documents.  A null text counts as empty.  Null ids are kept, and repeated
-    rows are copies of each other like any two documents.  Other columns are not read.  An empty table gives no rows.
+    another; overlaps count, and matches never cross documents.  The last two columns tell of passages of ``words`` words and
+    more that stand in another document too, which may be shorter than ``length`` bytes: how many there are, as maximal runs, and
+    how many bytes they cover.  They change nothing in the others.
+
+    A null text counts as empty.  Null ids are kept, and repeated rows are copies of each other like any two documents.  Other
+    columns are not read.  An empty table gives no rows.
     """
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passages", "n_passage_bytes"]
         for whole in batches:
             for lo in range(0, whole.num_rows, 1000):
                 b = whole.slice(lo, 1000)
                 out = []
                 for text, spans in zip(b.column("text"), b.column("spans").to_pylist()):
-                    data, spans = text.as_buffer().to_pybytes(), _merged(spans)
-                    out.append((len(data), sum(e - a for a, e in spans), len(spans), hashlib.sha256(_rest(data, spans)).hexdigest()))
+                    data = text.as_buffer().to_pybytes()
+                    told = list(_told(data, spans, length, words))
+                    spans = _merged((a, z) for kind, a, z in told if kind == BYTES)
+                    passages = _merged((a, z) for kind, a, z in told if kind == ELSEWHERE)
+                    out.append((
+                        len(data), sum(z - a for a, z in spans), len(spans), hashlib.sha256(_rest(data, spans)).hexdigest(),
+                        len(passages), sum(z - a for a, z in passages),
+                    ))
                 columns = list(zip(*out))
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), *[pa.array(c, pa.int64()) for c in columns[:3]], pa.array(columns[3], pa.string())], names=names)
+                yield pa.RecordBatch.from_arrays([
+                    b.column("doc_id"), *[pa.array(c, pa.string() if n == "kept_sha256" else pa.int64()) for n, c in zip(names[1:], columns)]
+                ], names=names)
 
-    joined = _texts(docs).join(repeats(docs, length), "row", "left")
-    return joined.mapInArrow(digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    joined = _texts(docs).join(repeats(docs, length, words), "row", "left")
+    return joined.mapInArrow(
+        digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passages long, n_passage_bytes long"
+    )
 
 
 def remove(docs: DataFrame, length: int = LENGTH, words: int | None = None) -> DataFrame:
@@ -297,8 +351,8 @@ def remove(docs: DataFrame, length: int = LENGTH, words: int | None = None) -> D
     that were empty or null before are kept as they are.
     """
     columns = docs.columns
-    key = "__row_of_document"
-    spans = repeats(docs, length, words).select(F.col("row").alias(key), F.col("spans").alias("__spans"))
+    key, own = fresh(docs, "row_of"), fresh(docs, "spans")
+    spans = repeats(docs, length, words).select(F.col("row").alias(key), F.col("spans").alias(own))
     joined = docs.withColumn(key, row_of()).join(spans, key, "left").drop(key)
     at = joined.columns.index("text")
 
@@ -307,11 +361,15 @@ def remove(docs: DataFrame, length: int = LENGTH, words: int | None = None) -> D
             for lo in range(0, whole.num_rows, 1000):
                 b = whole.slice(lo, 1000)
                 texts = []
-                for text, spans in zip(b.column("text"), b.column("__spans").to_pylist()):
-                    texts.append(text.as_py() if not spans else _rest(text.as_buffer().to_pybytes(), _merged(spans)).decode("utf-8", "ignore"))
+                for text, spans in zip(b.column("text"), b.column(own).to_pylist()):
+                    if not spans:
+                        texts.append(text.as_py())
+                        continue
+                    data = text.as_buffer().to_pybytes()
+                    texts.append(_rest(data, _merged((a, z) for _, a, z in _told(data, spans, length, words))).decode("utf-8", "ignore"))
                 yield b.set_column(at, "text", pa.array(texts, pa.string()))
 
-    left = joined.mapInArrow(cut, joined.schema).where(F.col("__spans").isNull() | (F.col("text") != "")).select(*columns)
+    left = joined.mapInArrow(cut, joined.schema).where(F.col(own).isNull() | (F.col("text") != "")).select(*columns)
     if "n_chars" in columns:
         left = left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return left

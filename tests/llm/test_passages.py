@@ -69,3 +69,55 @@ def test_stage(spark, sf):
     rest = brute_passages({i: (t or "").encode() for i, t in before.items()}, 400, 51)
     after = {r.doc_id: r.text for r in corpus_pipeline.cut_repeats(spark, docs, sf).collect()}
     assert after == {i: t for i, t in rest.items() if t or not before[i]}
+
+
+def brute_elsewhere(texts, least):
+    """(runs, bytes) of each text covered by passages of ``least`` words that stand in another text, too."""
+    words = {k: [m.span() for m in re.finditer(rb"[^\x20\x09-\x0d]+", t)] for k, t in texts.items()}
+    runs = {k: [tuple(texts[k][a:b] for a, b in w[i:i + least]) for i in range(len(w) - least + 1)] for k, w in words.items()}
+    holders = collections.Counter(r for own in runs.values() for r in set(own))
+    out = {}
+    for k, t in texts.items():
+        told = np.zeros(len(t) + 1, np.int8)
+        for i, r in enumerate(runs[k]):
+            if holders[r] > 1:
+                told[words[k][i][0]:words[k][i + least - 1][1]] = 1
+        out[k] = (int((np.diff(np.append(0, told)) == 1).sum()), int(told.sum()))
+    return out
+
+
+@pytest.mark.parametrize("length,least", [(60, 5), (400, 51)])
+def test_passage_columns(spark, length, least):
+    """Passages that only their own document repeats don't count, those that another has do, wherever they stand."""
+    rng = random.Random(length)
+    texts = [t or "" for _, t in ROWS if t is None or len(t) < 5000] + ["a " * least, " ".join("b" * least), "b " * least, "c " * 4 * least]
+    own = lambda n: [rng.choice(["é", "to", "x", "long"]) + str(rng.randrange(9)) for _ in range(n)]
+    for n in range(40):
+        text = own(2 * least)
+        passage = [f"p{i}" for i in range(3 * least)]
+        cut = rng.randrange(2 * least)
+        text[5:5] = passage[cut:cut + rng.randrange(least - 2, least + 9)] if n % 2 else []
+        texts.append("".join(w + rng.choice([" ", " ", "\n", "\t "]) for w in text))
+    for n in range(6):  # twice in one document, with and without a part of it in another
+        twice = [f"{n}q{i}" for i in range(least + 8)]
+        texts.append(" ".join(own(9) + twice + own(9) + twice + own(9)))
+        if n % 2:
+            texts.append(" ".join(own(9) + twice[3:3 + least + n - 2] + own(9)))
+    rows = list(enumerate(texts))
+    expected = brute_elsewhere({i: t.encode() for i, t in rows}, least)
+    found = {r.doc_id: (r.n_passages, r.n_passage_bytes) for r in suffix_dedup.report(frame(spark, rows).repartition(3), length, least).collect()}
+    assert found == expected
+
+
+def test_passage_columns_of_table(spark, sf):
+    docs = table(spark, sf, "documents")
+    texts = {r.doc_id: (r.text or "").encode() for r in docs.collect()}
+    found = {r.doc_id: (r.n_passages, r.n_passage_bytes) for r in suffix_dedup.report(docs).collect()}
+    assert found == brute_elsewhere(texts, 51)
+
+
+def test_repeated_rows_hold_each_others_passages(spark):
+    text = " ".join(f"w{i % 7}" for i in range(60))  # fewer than 400 bytes
+    rows = [(1, text), (1, text), (2, "other")]
+    found = collections.Counter((r.doc_id, r.n_removed, r.n_passages, r.n_passage_bytes) for r in suffix_dedup.report(frame(spark, rows)).collect())
+    assert found == {(1, 0, 1, len(text)): 2, (2, 0, 0, 0): 1}
