@@ -41,6 +41,11 @@ def parked(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished jobs now; it does so when the driver collects its garbage."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def discard(*tables: DataFrame) -> None:
     """Remove tables that ``parked`` made; others are left alone."""
     for df in tables:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, fresh, parked
+from .common import discard, fresh, parked, release
 from .prefix_hash import PrefixHash, mixed
 
 LENGTH = 400
@@ -47,9 +47,11 @@ WORD_CLASS = 21
 #: Bytes of text hashed at a time; a longer text is cut into overlapping steps.
 STEP = 1 << 19
 _PLACE = (1 << 20) - 1
-_RUN = pa.schema([("key", pa.int64()), ("sub", pa.int64()), ("row", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
+#: A bucket's name has 47 bits, as its runs and suffixes have names of their own; the lowest bit tells words.
+_KEY = np.uint64((1 << 48) - 2)
+_RUN = pa.schema([("key", pa.int64()), ("sub", pa.int64()), ("row", pa.int64()), ("place", pa.int64())])
 _SUFFIX = pa.schema([("key", pa.int64()), ("name", pa.int64()), ("row", pa.int64()), ("place", pa.int64()), ("open", pa.bool_()), ("others", pa.bool_())])
-#: A suffix's place is its first byte and, above these bits, its size.
+#: The place of a run or suffix is its first byte and, above these bits, its size.
 _FIRST = 32
 
 
@@ -104,7 +106,7 @@ def _runs(buf: np.ndarray, length: int, bounds: np.ndarray) -> tuple[np.ndarray,
     last = np.append(at[1:], len(start)) - 1
     s0, s1, p, c = start[at], start[last], sample[at], kind[at]
     shared = hashes.of(p - c * size, p - np.minimum(c * size + size - 1, w - 1) + length)
-    key = (mixed(shared + c.astype(np.uint64)) & ~np.uint64(1)) | np.uint64(words)
+    key = (mixed(shared + c.astype(np.uint64)) & _KEY) | np.uint64(words)
     sub = mixed(hashes.of(s0, s1 + length) + (far[at] * 4096 + (s1 - s0)).astype(np.uint64))
     return key.view(np.int64), sub.view(np.int64), s0, s1 - s0 + 1
 
@@ -160,12 +162,12 @@ def _find_runs(docs: DataFrame, length: int, words: int | None) -> DataFrame:
                             for i, a, z in zip(which, cuts, cuts[1:]):
                                 start[a:z], end[a:z] = units[i][1][start[a:z]], units[i][2][end[a:z] - 1]
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(key), pa.array(sub), pa.array(rows[np.array(which)][of]), pa.array(start), pa.array(end)], schema=_RUN
+                            [pa.array(key), pa.array(sub), pa.array(rows[np.array(which)][of]), pa.array(start | ((end - start) << _FIRST))], schema=_RUN
                         )
 
     shortest = length if words is None else min(length, 2 * words - 1)
     texts = docs.where(F.octet_length("text") >= shortest).select("row", F.xxhash64("text").alias("same"), "text")
-    return texts.mapInArrow(find, "key long, sub long, row long, start long, end long")
+    return texts.mapInArrow(find, "key long, sub long, row long, place long")
 
 
 def _name_suffixes(opened: DataFrame, length: int, words: int | None) -> DataFrame:
@@ -231,47 +233,56 @@ def repeats(docs: DataFrame, length: int = LENGTH, words: int | None = None) ->
     texts = _texts(docs)
     runs = _find_runs(texts.select("row", "text"), length, words)
 
-    # Copies of whole texts: every byte is repeated.
-    least = length if words is None else min(length, 2 * words - 1)
-    whole = texts.where(F.octet_length("text") >= least).select("row", F.md5("text").alias("copy"), F.octet_length("text").cast("long").alias("end"))
-    copied = whole.groupBy("copy").count().where("count > 1").select("copy")
-    whole = whole.join(copied, "copy").select("row", F.lit(WHOLE).alias("kind"), F.lit(0).cast("long").alias("start"), "end").distinct()
+    # Each step ends in a table, and the shuffle files of the step before can go.
+    spark = docs.sparkSession
 
     # Most buckets hold one run; only the runs of the others are written.
     several = runs.groupBy("key").count().where("count > 1").select("key")
     runs = parked(runs.join(several, "key"), "runs")
-    subs = runs.groupBy("key", "sub").agg(
-        F.count("*").alias("same"), F.min(F.struct("row", "start")).alias("one"), (F.min("row") < F.max("row")).alias("others")
-    )
+    release(spark)
+    by_word = F.col("key").bitwiseAND(1) == 1
+    row_by_word = F.when(by_word, F.col("row"))
+    others = F.min(row_by_word) < F.max(row_by_word)  # null for bytes, which don't ask
+    subs = runs.groupBy("key", "sub").agg(F.count("*").alias("same"), F.min(F.struct("row", "place")).alias("one"), others.alias("others"))
     # Joined by bucket and run, so that a bucket that a third of the corpus shares is spread; copies of a run are one row here.
     held = runs.join(subs, ["key", "sub"])
-    by_word = F.col("key").bitwiseAND(1) == 1
     kind = F.when(~by_word, BYTES).otherwise(F.when(F.col("others"), ELSEWHERE).otherwise(WITHIN))
-    closed = held.where("same > 1").select("row", kind.alias("kind"), "start", "end")
+    first = F.col("place").bitwiseAND((1 << _FIRST) - 1)
+    piece = [F.col("row"), kind.alias("kind"), first.alias("start"), (first + F.shiftright("place", _FIRST)).alias("end")]
+    closed = parked(_swept(held.where("same > 1").select(*piece)), "closed")
+    release(spark)
+
     # Of runs that tie with each other, one is opened too, for the others of its bucket.  Words that only one document repeats
     # are opened wherever they stand, as each may be found in another document yet.
     alone = (F.col("same") == 1) | (by_word & ~F.col("others"))
-    mixed_keys = runs.groupBy("key").agg(F.min("sub").alias("a"), F.max("sub").alias("b")).where("a < b").select("key")
-    to_open = held.where(alone | (F.struct("row", "start") == F.col("one"))).join(mixed_keys, "key", "left_semi")
-    to_open = to_open.groupBy("row").agg(F.collect_list(F.struct("key", "start", "end", alone.alias("open"), "others")).alias("runs"))
-    suffixes = _name_suffixes(texts.join(to_open, "row"), length, words)
-    again = suffixes.groupBy("key", "name").agg(
-        F.count("*").alias("count"), ((F.min("row") < F.max("row")) | F.bool_or("others")).alias("others")
-    ).where("count > 1").select("key", "name", "others")
-    first = F.col("place").bitwiseAND((1 << _FIRST) - 1)
-    open_ties = suffixes.where("open").drop("others").join(again, ["key", "name"]).select(
-        "row", kind.alias("kind"), first.alias("start"), (first + F.shiftright("place", _FIRST)).alias("end")
-    )
-    pieces = closed.unionByName(open_ties).unionByName(whole)
-    # Pieces that overlap or touch are merged by a sorted sweep, which spills; only maximal ones are gathered.
+    mixed_keys = subs.groupBy("key").count().where("count > 1").select("key")
+    to_open = held.where(alone | (F.struct("row", "place") == F.col("one"))).join(mixed_keys, "key", "left_semi")
+    opened = F.struct("key", first.alias("start"), (first + F.shiftright("place", _FIRST)).alias("end"), alone.alias("open"), "others")
+    to_open = parked(to_open.groupBy("row").agg(F.collect_list(opened).alias("runs")), "opened")
+    discard(runs)
+    release(spark)
+    suffixes = _name_suffixes(texts.select("row", "text").join(to_open, "row"), length, words)
+    again = suffixes.groupBy("key", "name").agg(F.count("*").alias("count"), (others | F.bool_or("others")).alias("others"))
+    again = again.where("count > 1").select("key", "name", "others")
+    ties = parked(_swept(suffixes.where("open").drop("others", "open").join(again, ["key", "name"]).select(*piece)), "ties")
+    discard(to_open)
+    release(spark)
+
+    # Copies of whole texts: every byte is repeated.
+    least = length if words is None else min(length, 2 * words - 1)
+    whole = texts.where(F.octet_length("text") >= least).select("row", F.md5("text").alias("copy"), F.octet_length("text").cast("long").alias("end"))
+    copied = whole.groupBy("copy").count().where("count > 1").select("copy")
+    whole = whole.join(copied, "copy").select("row", F.lit(WHOLE).alias("kind"), F.lit(0).cast("long").alias("start"), "end").distinct()
+    return _swept(closed.unionByName(ties)).unionByName(whole).groupBy("row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("spans"))
+
+
+def _swept(pieces: DataFrame) -> DataFrame:
+    """Pieces of one kind that overlap or touch are merged, by a sorted sweep that spills; only maximal ones are gathered later."""
     sweep = Window.partitionBy("row", "kind").orderBy("start", "end")
     reach = F.max("end").over(sweep.rowsBetween(Window.unboundedPreceding, -1))
     marked = pieces.select("*", F.when(F.col("start") <= reach, 0).otherwise(1).alias("new"))
     marked = marked.select("*", F.sum("new").over(sweep.rowsBetween(Window.unboundedPreceding, 0)).alias("run"))
-    merged = marked.groupBy("row", "kind", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-    spans = parked(merged.groupBy("row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("spans")), "spans")
-    discard(runs)
-    return spans
+    return marked.groupBy("row", "kind", "run").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("run")
 
 
 def _told(text: bytes, spans: list[dict] | None, length: int, words: int | None) -> Iterator[tuple[int, int, int]]:
