@@ -51,6 +51,8 @@ _PLACE = (1 << 20) - 1
 _KEY = np.uint64((1 << 48) - 2)
 _RUN = pa.schema([("key", pa.int64()), ("sub", pa.int64()), ("row", pa.int64()), ("place", pa.int64())])
 _SUFFIX = pa.schema([("key", pa.int64()), ("name", pa.int64()), ("row", pa.int64()), ("place", pa.int64()), ("open", pa.bool_()), ("others", pa.bool_())])
+#: Of the bitmap of documents that are opened.
+FILTER_BITS = 1 << 26
 #: The place of a run or suffix is its first byte and, above these bits, its size.
 _FIRST = 32
 
@@ -261,7 +263,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, words: int | None = None) ->
     to_open = parked(to_open.groupBy("row").agg(F.collect_list(opened).alias("runs")), "opened")
     discard(runs)
     release(spark)
-    suffixes = _name_suffixes(texts.select("row", "text").join(to_open, "row"), length, words)
+    suffixes = _name_suffixes(_likely(texts.select("row", "text"), to_open).join(to_open, "row"), length, words)
     again = suffixes.groupBy("key", "name").agg(F.count("*").alias("count"), (others | F.bool_or("others")).alias("others"))
     again = again.where("count > 1").select("key", "name", "others")
     ties = parked(_swept(suffixes.where("open").drop("others", "open").join(again, ["key", "name"]).select(*piece)), "ties")
@@ -276,6 +278,19 @@ def repeats(docs: DataFrame, length: int = LENGTH, words: int | None = None) ->
     return _swept(closed.unionByName(ties)).unionByName(whole).groupBy("row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("spans"))
 
 
+def _likely(texts: DataFrame, rows: DataFrame) -> DataFrame:
+    """The texts whose ``row`` may be among ``rows``, by a bitmap of ``FILTER_BITS``: most other texts needn't be shuffled.
+
+    It has ``FILTER_BITS / 64`` rows of two numbers at most, whatever the size of the table, and so may be broadcast.  Where it
+    gets full, more texts pass that the join after it drops.
+    """
+    place = F.pmod("row", F.lit(FILTER_BITS))
+    word, bit = F.shiftright(place, 6), F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(63).cast("int"))
+    bitmap = rows.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))
+    marked = texts.withColumns({"word": word, "bit": bit}).join(F.broadcast(bitmap), "word")
+    return marked.where(F.col("bits").bitwiseAND(F.col("bit")) != 0).select(*texts.columns)
+
+
 def _swept(pieces: DataFrame) -> DataFrame:
     """Pieces of one kind that overlap or touch are merged, by a sorted sweep that spills; only maximal ones are gathered later."""
     sweep = Window.partitionBy("row", "kind").orderBy("start", "end")
