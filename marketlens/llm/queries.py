@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marketlens.session import scratch_path
 
-from . import decontaminate, html_text, jaccard_join, language_id, license_scan, packing, quality_rules, suffix_dedup, token_store, url_filter
+from . import decontaminate, html_text, jaccard_join, language_id, license_scan, packing, periodic_runs, quality_rules, suffix_dedup, token_store, url_filter
 from .common import table
 
 #: Place of a public tokenizer's file; a parameter of the operators.
@@ -58,6 +58,10 @@ def quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.report(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": benchmark_leaks,
     "op9_html_text": page_text,
     "op10_quality_rules": quality_ledger,
+    "op11_periodic_runs": word_runs,
     "pipeline": pipeline,
 }
 
