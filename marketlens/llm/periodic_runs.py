@@ -19,11 +19,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import blank_words, fresh
+from .spans import by_size, bytes_of, stretches
 
 #: A run has at least so many words, and so many periods.
 LEAST, TIMES = 6, 4
@@ -34,16 +34,6 @@ _BLANK[[9, 10, 11, 12, 13, 32]] = True
 SCHEMA = "runs array<struct<start:long,length:long,period:long>>, collapsed string"
 
 
-def word_spans(buf: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of all words of the texts ``buf[bounds[i]:bounds[i + 1]]``, and the number of words before each text."""
-    inside = ~_BLANK[buf]
-    edge = np.zeros(len(buf) + 1, bool)  # a text's first byte is no continuation
-    edge[bounds] = True
-    start = np.flatnonzero(inside & (edge[:-1] | np.append(True, ~inside[:-1])))
-    end = np.flatnonzero(inside & (edge[1:] | np.append(~inside[1:], True))) + 1
-    return start, end, np.searchsorted(start, bounds)
-
-
 def find_runs(words: np.ndarray, upto: np.ndarray, least: int = LEAST, times: int = TIMES) -> tuple[np.ndarray, ...]:
     """``start, length, period`` of all runs of the texts ``words[upto[i]:upto[i + 1]]``; ``words`` are numbers from 0."""
     sizes = np.diff(upto)
@@ -85,10 +75,8 @@ def find_runs(words: np.ndarray, upto: np.ndarray, least: int = LEAST, times: in
 
 def _step(texts: pa.Array, least: int, times: int) -> pa.StructArray:
     """Runs and collapsed text of each text of a string array without nulls."""
-    _, offsets, data = texts.buffers()
-    bounds = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1]
-    buf = np.frombuffer(data, np.uint8)[bounds[0]:bounds[-1]] if bounds[-1] > bounds[0] else np.empty(0, np.uint8)
-    start, end, upto = word_spans(buf, bounds - bounds[0])
+    buf, bounds = bytes_of(texts)
+    start, end, upto = stretches(~_BLANK[buf], bounds)
     inside = np.append(0, np.cumsum(end - start))
     packed = buf[~_BLANK[buf]]
     words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(inside.astype(np.int64)), pa.py_buffer(packed)])
@@ -130,12 +118,7 @@ def periodic(text: Column, least: int = LEAST, times: int = TIMES) -> Column:
     def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             texts = texts.cast(pa.large_string()).fill_null("")
-            upto = np.cumsum(pc.binary_length(texts).to_numpy())
-            parts, a = [], 0
-            while a < len(texts):
-                b = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + STEP, "right")))
-                parts.append(_step(texts.slice(a, b - a), least, times))
-                a = b
+            parts = [_step(part, least, times) for part in by_size(texts, STEP)]
             yield pa.concat_arrays(parts) if parts else _step(texts, least, times)
 
     told = F.arrow_udf(find, f"struct<{SCHEMA.replace(' array', ':array').replace(' string', ':string')}>", F.ArrowUDFType.SCALAR_ITER)
