@@ -39,8 +39,8 @@ TOP = 2_000
 LONGEST = 3
 DOCS_PER_LANGUAGE, SEEN = 2_000, 2
 UNKNOWN = "und"
-#: Bytes of text counted at a time, unless a single text is longer.
-STEP = 8_000_000
+#: Bytes of text counted at a time, unless a single text is longer; and rows handed on at a time.
+STEP, ROWS = 4_000_000, 1 << 16
 #: Of the bitmap of frequent phrases: 64 a row, 2 ** 20 rows at most.
 FILTER_BITS = 1 << 26
 #: Parts of a language that are ranked on their own first.
@@ -152,15 +152,19 @@ def _count(docs: DataFrame, tell) -> DataFrame:
     """``lang, words, phrase, count``, summed; ``tell(lang, Words)`` gives (words, phrases, counts)."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch = pa.Table.from_batches([batch])
-            for lang in pc.unique(batch["lang"]).to_pylist():
-                texts = batch.filter(pc.equal(batch["lang"], lang))["text"].combine_chunks().cast(pa.large_string())
-                for part in by_size(texts, STEP):
-                    for words, phrases, counts in tell(lang, Words(part)):
-                        n = len(counts)
-                        yield pa.RecordBatch.from_arrays([
-                            pa.repeat(lang, n), pa.repeat(pa.scalar(words, pa.int32()), n), phrases.cast(pa.string()), pa.array(counts.astype(np.int64))
-                        ], schema=_ARROW)
+            langs, a = batch.column("lang"), 0
+            for texts in by_size(batch.column("text"), STEP):
+                own = langs.slice(a, len(texts))
+                a += len(texts)
+                for lang in pc.unique(own).to_pylist():
+                    w = Words(texts.filter(pc.equal(own, lang)).cast(pa.large_string()))
+                    for words, phrases, counts in tell(lang, w):
+                        for lo in range(0, len(counts), ROWS):
+                            n = min(ROWS, len(counts) - lo)
+                            yield pa.RecordBatch.from_arrays([
+                                pa.repeat(lang, n), pa.repeat(pa.scalar(words, pa.int32()), n),
+                                phrases.slice(lo, n).cast(pa.string()), pa.array(counts[lo:lo + n].astype(np.int64)),
+                            ], schema=_ARROW)
 
     return docs.mapInArrow(count, SCHEMA).groupBy("lang", "words", "phrase").agg(F.sum("count").alias("count"))
 
