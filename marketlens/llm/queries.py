@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marketlens.session import scratch_path
 
-from . import decontaminate, html_text, jaccard_join, language_id, license_scan, packing, periodic_runs, phrase_mining, quality_rules, suffix_dedup, token_store, url_filter
+from . import decontaminate, embedding_dedup, html_text, jaccard_join, language_id, license_scan, packing, periodic_runs, phrase_mining, quality_rules, suffix_dedup, token_store, url_filter
 from .common import table
 
 #: Place of a public tokenizer's file; a parameter of the operators.
@@ -62,6 +62,10 @@ def word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.report(table(spark, sf_dir, "documents"))
 
 
+def vector_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.report(table(spark, sf_dir, "embeddings"))
+
+
 def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_mining.collocations(table(spark, sf_dir, "documents"))
 
@@ -84,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_html_text": page_text,
     "op10_quality_rules": quality_ledger,
     "op11_periodic_runs": word_runs,
+    "op12_embedding_dedup": vector_copies,
     "op13_phrase_mining": phrases,
     "pipeline": pipeline,
 }
@@ -92,5 +97,6 @@ ORACLES: dict[str, str] = {
     "op2_license_scan": license_scan.oracle_sql(),
     "op3_url_filter": url_filter.oracle_sql(),
     "op10_quality_rules": quality_rules.oracle_sql(),
+    "op12_embedding_dedup": embedding_dedup.oracle_sql(),
     "op13_phrase_mining": phrase_mining.oracle_sql(),
 }
