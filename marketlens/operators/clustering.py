@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import GaussianMixture, KMeans
+from pyspark.ml.clustering import GaussianMixture, GaussianMixtureModel, KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.schemas import RUN_SCHEMA
+from marketlens.sources.readers import read_parquet_or_none
 
 PRICE_FEATURES = ("Open", "Close")
 RANGE_FEATURES = ("Open", "Close", "Volume", "RangeOpen", "RangeLow")
@@ -49,11 +52,85 @@ def silhouette(predictions: DataFrame) -> float:
     ).evaluate(predictions)
 
 
+def _squares(columns: Sequence[Column]) -> Column:
+    return sum((c * c for c in columns), F.lit(0.0))
+
+
+def silhouette_by_sums(df: DataFrame, features: Sequence[str], label: str = "prediction") -> float | None:
+    """Mean silhouette under squared distances, from the number, the sums and the squares of each cluster.
+
+    The mean squared distance of a row to a cluster is its own square, plus the mean square of the cluster, less twice the
+    product with the cluster's mean; so two passes and a table of clusters do, and no pair is looked at.  A row alone in its
+    cluster scores 0.  Rows with a missing feature or label are skipped; fewer than two clusters have no silhouette.
+    """
+    ready = df.select(label, *[F.col(c).cast("double").alias(c) for c in features]).na.drop()
+    # Distances don't change if all rows move, and small numbers lose fewer digits in the squares.
+    middle = ready.agg(*[F.avg(c).alias(c) for c in features]).first()
+    moved = [F.col(c) - F.lit(m) for c, m in zip(features, middle)]
+    clusters = ready.groupBy(label).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(_squares(moved)).alias("squares"), *[F.sum(x).alias(f"s{i}") for i, x in enumerate(moved)]
+    ).orderBy(label).collect()  # a row for each cluster
+    if len(clusters) < 2:
+        return None
+
+    def distance(c, n: int) -> Column:
+        """To cluster ``c``, its sum of squared distances over ``n`` rows."""
+        product = sum((x * F.lit(c[f"s{i}"]) for i, x in enumerate(moved)), F.lit(0.0))
+        return (_squares(moved) * F.lit(float(c["n"])) + F.lit(c["squares"]) - 2 * product) / F.lit(float(n))
+
+    own, other = F.lit(None).cast("double"), []
+    for c in clusters:
+        mine = F.col(label) == c[label]
+        own = F.when(mine, distance(c, max(1, c["n"] - 1))).otherwise(own)
+        other.append(F.when(~mine, distance(c, c["n"])))
+    alone = F.col(label).isin([c[label] for c in clusters if c["n"] == 1])
+    near = F.array_min(F.array(*other))
+    most = F.greatest(own, near)
+    score = F.when(alone | (most <= 0), F.lit(0.0)).otherwise((near - own) / most)
+    return ready.agg(F.avg(score)).first()[0]
+
+
+def centre_distances(model: KMeansModel, features: Sequence[str]) -> Column:
+    """Array of the squared distances to the centres."""
+    return F.array(*[_squares([F.col(c) - F.lit(float(x)) for c, x in zip(features, centre)]) for centre in model.clusterCenters()])
+
+
+def kmeans_cost(df: DataFrame, model: KMeansModel, features: Sequence[str]) -> float:
+    """Sum of the squared distances to the nearest centre; rows with a missing feature are skipped."""
+    ready = df.select(*features).na.drop()
+    return ready.agg(F.sum(F.array_min(centre_distances(model, features)))).first()[0] or 0.0
+
+
+def mixture_log_densities(model: GaussianMixtureModel, features: Sequence[str]) -> Column:
+    """Array of each component's log weight and log density at the row.
+
+    A covariance is turned into independent directions on the driver, where it is as large as the number of features; a
+    direction without spread counts neither in the distance nor in the volume.
+    """
+    out = []
+    for weight, gaussian in zip(model.weights, model.gaussians):
+        values, vectors = np.linalg.eigh(gaussian.cov.toArray())
+        real = values > np.finfo(float).eps * max(values.max(), 0) * len(values)
+        scaled = vectors[:, real] / np.sqrt(values[real])
+        apart = [F.col(c).cast("double") - F.lit(float(m)) for c, m in zip(features, gaussian.mean.toArray())]
+        away = [sum((x * F.lit(float(w)) for x, w in zip(apart, column)), F.lit(0.0)) for column in scaled.T]
+        volume = 0.5 * (len(values) * math.log(2 * math.pi) + float(np.log(values[real]).sum()))
+        out.append(F.lit(math.log(weight) if weight > 0 else -math.inf) - F.lit(volume) - _squares(away) / 2)
+    return F.array(*out)
+
+
+def mixture_log_likelihood(df: DataFrame, model: GaussianMixtureModel, features: Sequence[str]) -> float:
+    """Sum over the rows of the log of the mixture's density, without leaving the logarithm; incomplete rows are skipped."""
+    ready = df.select(*features).na.drop().select(mixture_log_densities(model, features).alias("logs"))
+    most = F.array_max("logs")
+    whole = F.aggregate("logs", F.lit(0.0), lambda a, x: a + F.exp(x - most))
+    return ready.agg(F.sum(most + F.log(whole))).first()[0] or 0.0
+
+
 def _sweep(
-    df: DataFrame, features: Sequence[str], ks: Sequence[int], score: Callable[[DataFrame, int], dict[str, float]],
-    parallelism: int,
-) -> list[tuple[int, dict[str, float]]]:
-    """Score every ``k`` over one stored copy of the feature columns.
+    df: DataFrame, features: Sequence[str], ks: Sequence[int], score: Callable[[DataFrame, int], tuple], parallelism: int,
+) -> list[tuple]:
+    """``k``, metrics and fitted model for every ``k``, over one stored copy of the feature columns.
 
     Plain numbers are stored rather than vectors, which are larger and slow to read
     back; the copy spills to disk if it must.  A fit keeps vectors of its own while it
@@ -62,7 +139,7 @@ def _sweep(
     numbers = df.select(*features).persist(StorageLevel.MEMORY_AND_DISK)
     vectors = assembler(features).transform(numbers).select("features")
     try:
-        return list(zip(ks, _side_by_side(df.sparkSession, lambda k: score(vectors, k), ks, parallelism)))
+        return [(k, *told) for k, told in zip(ks, _side_by_side(df.sparkSession, lambda k: score(vectors, k), ks, parallelism))]
     finally:
         numbers.unpersist()
 
@@ -73,50 +150,59 @@ def _side_by_side(spark: SparkSession, fit: Callable, inputs: Sequence, parallel
         return list(pool.map(inheritable_thread_target(spark)(fit), inputs))
 
 
-def _runs(spark: SparkSession, scored: list[tuple[int, dict[str, float]]], seed: int) -> DataFrame:
-    rows = [(uuid.uuid4().hex, {"k": str(k), "seed": str(seed)}, metrics) for k, metrics in scored]
+def _runs(spark: SparkSession, scored: list[tuple], seed: int, features: Sequence[str], models: str | None, experiment: str | None) -> DataFrame:
+    """Rows of the run table; with ``models``, each run's pipeline is saved there under its id."""
+    rows = []
+    for k, metrics, model in scored:
+        run_id = uuid.uuid4().hex
+        if models:
+            save_model(PipelineModel([assembler(features), model]), f"{models}/{run_id}")
+        rows.append((run_id, {"k": str(k), "seed": str(seed)}, metrics, experiment))
     return spark.createDataFrame(rows, RUN_SCHEMA)
 
 
 def k_by_silhouette(
     df: DataFrame, ks: Sequence[int] = (2, 3, 4, 5), seed: int = SEED, features: Sequence[str] = PRICE_FEATURES,
-    parallelism: int = 2,
+    parallelism: int = 2, models: str | None = None, experiment: str | None = None,
 ) -> DataFrame:
     """Runs of k-means with their silhouette; ``best_run(runs, "silhouette")`` picks one."""
-    def score(vectors: DataFrame, k: int) -> dict[str, float]:
-        return {"silhouette": silhouette(kmeans(k, seed).fit(vectors).transform(vectors))}
+    def score(vectors: DataFrame, k: int) -> tuple:
+        model = kmeans(k, seed).fit(vectors)
+        return {"silhouette": silhouette(model.transform(vectors))}, model
 
-    return _runs(df.sparkSession, _sweep(df, features, ks, score, parallelism), seed)
+    return _runs(df.sparkSession, _sweep(df, features, ks, score, parallelism), seed, features, models, experiment)
 
 
 def k_by_cost(
     df: DataFrame, ks: Sequence[int] = (2, 3, 4, 5, 6), seed: int = SEED, features: Sequence[str] = PRICE_FEATURES,
-    parallelism: int = 2,
+    parallelism: int = 2, models: str | None = None, experiment: str | None = None,
 ) -> DataFrame:
     """Runs with training cost and its negative, ``score``; the lowest cost is the best run.
 
     Cost nearly always falls with ``k``, so the drop from the run before is recorded
     as ``elbow_gain``.
     """
-    def score(vectors: DataFrame, k: int) -> dict[str, float]:
-        cost = float(kmeans(k, seed).fit(vectors).summary.trainingCost)
-        return {"cost": cost, "score": -cost}
+    def score(vectors: DataFrame, k: int) -> tuple:
+        model = kmeans(k, seed).fit(vectors)
+        cost = float(model.summary.trainingCost)
+        return {"cost": cost, "score": -cost}, model
 
     scored = _sweep(df, features, ks, score, parallelism)
-    for (_, before), (_, after) in zip(scored, scored[1:]):
+    for (_, before, _), (_, after, _) in zip(scored, scored[1:]):
         after["elbow_gain"] = before["cost"] - after["cost"]
-    return _runs(df.sparkSession, scored, seed)
+    return _runs(df.sparkSession, scored, seed, features, models, experiment)
 
 
 def k_by_loglik(
     df: DataFrame, ks: Sequence[int] = (2, 3, 4, 5, 6), seed: int = SEED, features: Sequence[str] = PRICE_FEATURES,
-    parallelism: int = 2,
+    parallelism: int = 2, models: str | None = None, experiment: str | None = None,
 ) -> DataFrame:
     """Runs of the Gaussian mixture with their log-likelihood; the highest is the best run."""
-    def score(vectors: DataFrame, k: int) -> dict[str, float]:
-        return {"log_likelihood": float(gaussian_mixture(k, seed).fit(vectors).summary.logLikelihood)}
+    def score(vectors: DataFrame, k: int) -> tuple:
+        model = gaussian_mixture(k, seed).fit(vectors)
+        return {"log_likelihood": float(model.summary.logLikelihood)}, model
 
-    return _runs(df.sparkSession, _sweep(df, features, ks, score, parallelism), seed)
+    return _runs(df.sparkSession, _sweep(df, features, ks, score, parallelism), seed, features, models, experiment)
 
 
 def gmm_repeat(
@@ -157,8 +243,11 @@ def record_runs(runs: DataFrame, path: str) -> None:
     runs.write.mode("append").parquet(path)
 
 
-def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RUN_SCHEMA).parquet(path)
+def read_runs(spark: SparkSession, path: str, experiment: str | None = None) -> DataFrame:
+    """The stored runs, of one experiment if named; none where nothing was stored yet."""
+    stored = read_parquet_or_none(spark, path)
+    runs = spark.createDataFrame([], RUN_SCHEMA) if stored is None else spark.read.schema(RUN_SCHEMA).parquet(path)
+    return runs if experiment is None else runs.filter(F.col("experiment") == experiment)
 
 
 def run_listing(runs: DataFrame) -> DataFrame:
@@ -174,3 +263,8 @@ def save_model(model: PipelineModel, path: str) -> None:
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def load_run(models: str, run_id: str) -> PipelineModel:
+    """The pipeline that a run of a sweep stored."""
+    return load_model(f"{models}/{run_id}")

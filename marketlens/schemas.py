@@ -93,6 +93,7 @@ RUN_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType(), False),
     T.StructField("params", T.MapType(T.StringType(), T.StringType()), False),
     T.StructField("metrics", T.MapType(T.StringType(), T.DoubleType()), False),
+    T.StructField("experiment", T.StringType()),
 ])
 
 

@@ -92,30 +92,103 @@ def kmeans_nearest(spark, sf):
     )
 
 
-@query("gmm_assign")
+@query("gmm_assign", with_sql("SELECT count(*) AS rows, CAST(0 AS BIGINT) AS misplaced, CAST(2 AS BIGINT) AS clusters FROM bars_supplier"))
 def gmm_assign(spark, sf):
+    """Every row's densities are worked out from the fitted weights, means and covariances; none may beat its own."""
     bars = _features(spark, sf)
-    return clustering.gmm_pipeline(2).fit(bars).transform(bars).select("Ticker", "Date", "prediction")
+    model = clustering.gmm_pipeline(2).fit(bars)
+    logs = clustering.mixture_log_densities(model.stages[-1], clustering.RANGE_FEATURES)
+    placed = model.transform(bars).select("prediction", logs.alias("logs"))
+    own, most = F.get("logs", F.col("prediction")), F.array_max("logs")
+    return placed.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(own < most - 1e-6 * (1 + F.abs(most))).alias("misplaced"),
+        F.count_distinct("prediction").alias("clusters"),
+    )
+
+
+def _sweep_agrees(spark, bars, sweep, metric, again, tolerance, lowers=False):
+    """A row per run: its metric is worked out anew, from the model that the run stored; ``lowers`` if it must not be more."""
+    runs_path, models = scratch_path(spark, "runs"), scratch_path(spark, "models")
+    clustering.record_runs(sweep(bars, models=models, experiment=metric), runs_path)
+    told = []
+    for run in clustering.read_runs(spark, runs_path, metric).collect():
+        value = again(bars, clustering.load_run(models, run["run_id"]))
+        recorded = run["metrics"][metric]
+        close = abs(value - recorded) <= tolerance * abs(value) and not (lowers and value > recorded * (1 + 1e-9))
+        told.append((int(run["params"]["k"]), close))
+    return spark.createDataFrame(told, "k int, agrees boolean")
 
 
-@query("k_by_silhouette")
+def _ks(last):
+    return f"SELECT CAST(k AS INTEGER) AS k, TRUE AS agrees FROM range(2, {last + 1}) t(k)"
+
+
+@query("silhouette_check", with_sql("SELECT count(*) AS rows, TRUE AS agrees, CAST(3 AS BIGINT) AS clusters FROM bars_supplier"))
+def silhouette_check(spark, sf):
+    """The silhouette from sums of each cluster against the evaluator's."""
+    bars = bars_supplier(spark, sf)
+    placed = clustering.kmeans_pipeline(3).fit(bars).transform(bars)
+    ours, theirs = clustering.silhouette_by_sums(placed, clustering.PRICE_FEATURES), clustering.silhouette(placed)
+    return placed.agg(
+        F.count(F.lit(1)).alias("rows"), F.lit(abs(ours - theirs) < 1e-6).alias("agrees"), F.count_distinct("prediction").alias("clusters")
+    )
+
+
+@query("k_by_silhouette", _ks(5))
 def k_by_silhouette(spark, sf):
-    return clustering.k_by_silhouette(projections.open_close(bars_supplier(spark, sf)))
+    def again(bars, model):
+        return clustering.silhouette_by_sums(model.transform(bars), clustering.PRICE_FEATURES)
+
+    return _sweep_agrees(spark, projections.open_close(bars_supplier(spark, sf)), clustering.k_by_silhouette, "silhouette", again, 1e-6)
 
 
-@query("k_by_cost")
+@query("k_by_cost", _ks(6))
 def k_by_cost(spark, sf):
-    return clustering.k_by_cost(projections.open_close(bars_supplier(spark, sf)))
+    """A fit records the cost before its last step, which only lowers it, by little when the fit has settled."""
+    def again(bars, model):
+        return clustering.kmeans_cost(bars, model.stages[-1], clustering.PRICE_FEATURES)
 
+    return _sweep_agrees(spark, projections.open_close(bars_supplier(spark, sf)), clustering.k_by_cost, "cost", again, 0.05, lowers=True)
 
-@query("k_by_loglik")
+
+@query("k_by_loglik", _ks(6))
 def k_by_loglik(spark, sf):
-    return clustering.k_by_loglik(projections.open_close(bars_supplier(spark, sf)))
+    """A fit records the likelihood before its last step, which gains less than its tolerance unless it ran out of steps."""
+    def again(bars, model):
+        return clustering.mixture_log_likelihood(bars, model.stages[-1], clustering.PRICE_FEATURES)
+
+    return _sweep_agrees(spark, projections.open_close(bars_supplier(spark, sf)), clustering.k_by_loglik, "log_likelihood", again, 1e-4)
+
+
+@query("model_roundtrip", with_sql("SELECT count(*) AS rows, CAST(0 AS BIGINT) AS changed, CAST(0 AS BIGINT) AS farther FROM bars_user"))
+def model_roundtrip(spark, sf):
+    """The best run of a stored sweep is loaded back and places every row at its nearest centre, and where its copy does."""
+    bars = projections.open_close(bars_user(spark, sf))
+    runs_path, models = scratch_path(spark, "runs"), scratch_path(spark, "models")
+    clustering.record_runs(clustering.k_by_cost(bars, (2, 3), models=models, experiment="cost"), runs_path)
+    best = ordering.best_run(clustering.read_runs(spark, runs_path, "cost"), "score").first()
+    stored = clustering.load_run(models, best["run_id"])
+    gaps = clustering.centre_distances(stored.stages[-1], clustering.PRICE_FEATURES)
+    again = f"{models}/again"
+    clustering.save_model(stored, again)
+    copy = clustering.load_model(again).stages[-1].setPredictionCol("again")
+    placed = copy.transform(stored.transform(bars)).withColumn("gaps", gaps)
+    return placed.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("prediction") != F.col("again")).alias("changed"),
+        F.count_if(F.get("gaps", F.col("prediction")) > F.array_min("gaps") * (1 + 1e-9)).alias("farther"),
+    )
 
 
-@query("gmm_repeat")
+@query("gmm_repeat", with_sql("""
+SELECT CAST(rep AS INTEGER) AS rep, count(*) AS rows, count(DISTINCT ("Ticker", "Date")) AS keys, CAST(0 AS BIGINT) AS outside
+FROM bars_user, range(1, 6) t(rep) GROUP BY rep"""))
 def gmm_repeat(spark, sf):
-    return clustering.gmm_repeat(projections.range_features(bars_user(spark, sf)))
+    """Every row once for each repetition, in one of its two clusters."""
+    placed = clustering.gmm_repeat(projections.range_features(bars_user(spark, sf)))
+    return placed.groupBy("rep").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("Ticker", "Date").alias("keys"),
+        F.count_if(~F.col("prediction").isin(0, 1)).alias("outside"),
+    )
 
 
 @query("gmm_kmeans_differences")
