@@ -62,19 +62,60 @@ def label_difference_counts(left: DataFrame, right: DataFrame, key: str = "Ticke
     )
 
 
+def best_matching(weights: list[list[int]]) -> list[int]:
+    """For each row of a table with no more rows than columns, its column in the matching with the largest sum.
+
+    Shortest augmenting paths: rows come one by one, and prices of rows and columns keep every reduced cost from
+    falling below zero.
+    """
+    n, m = len(weights), len(weights[0]) if weights else 0
+    row_price, column_price, holder = [0] * n, [0] * m, [-1] * m
+    for new in range(n):
+        least, before, done = [float("inf")] * m, [-1] * m, [False] * m
+        row, column = new, -1
+        while True:
+            for c in range(m):
+                cost = -weights[row][c] - row_price[row] - column_price[c]
+                if not done[c] and cost < least[c]:
+                    least[c], before[c] = cost, column
+            step, column = min((least[c], c) for c in range(m) if not done[c])
+            row_price[new] += step
+            for c in range(m):
+                if done[c]:
+                    row_price[holder[c]] += step
+                    column_price[c] -= step
+                else:
+                    least[c] -= step
+            done[column] = True
+            if holder[column] < 0:
+                break
+            row = holder[column]
+        while column >= 0:  # hand columns on along the path
+            holder[column] = holder[before[column]] if before[column] >= 0 else new
+            column = before[column]
+    out = [-1] * n
+    for c, r in enumerate(holder):
+        if r >= 0:
+            out[r] = c
+    return out
+
+
 def align_labels(df: DataFrame, label: str, reference: str) -> DataFrame:
-    """Rename the labels of one model to those of another by largest overlap.
+    """Rename the labels of one model to those of another so that as many rows as possible agree.
 
-    Label numbers of two fits are arbitrary.  Overlaps are taken from the largest
-    down and each label is used once, on a table of at most k times k counts.
+    Label numbers of two fits are arbitrary.  The matching is exact, on a table of at most k times k counts; a label
+    without a partner takes a number that no other has.  Rows without a label keep none.
     """
     overlap = df.groupBy(label, reference).agg(F.count(F.lit(1)).alias("n")).collect()
-    mapping: dict[int, int] = {}
-    for row in sorted(overlap, key=lambda r: (-r["n"], r[label], r[reference])):
-        if row[label] not in mapping and row[reference] not in mapping.values():
-            mapping[row[label]] = row[reference]
+    ours = sorted({r[label] for r in overlap if r[label] is not None})
+    theirs = sorted({r[reference] for r in overlap if r[reference] is not None})
+    counts = {(r[label], r[reference]): r["n"] for r in overlap}
+    spare = [None] * max(0, len(ours) - len(theirs))
+    columns = [*theirs, *spare]
+    chosen = best_matching([[counts.get((a, b), 0) if b is not None else 0 for b in columns] for a in ours])
+    mapping: dict[int, int] = {a: columns[c] for a, c in zip(ours, chosen) if columns[c] is not None}
     # A label left without a partner takes a reference number nobody holds, or a new one.
-    for own in sorted({r[label] for r in overlap} - mapping.keys()):
+    for own in sorted(set(ours) - mapping.keys()):
         mapping[own] = next(n for n in range(2 * len(overlap) + 1) if n not in mapping.values())
     renamed = F.lit(None).cast("int")
     for own, other in mapping.items():

@@ -1,5 +1,6 @@
 """Figures of clusters against plain versions, and runs by experiment."""
 
+import itertools
 import math
 import uuid
 
@@ -8,7 +9,7 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from marketlens.operators import clustering
+from marketlens.operators import clustering, joins
 from marketlens.session import scratch_path
 
 FEATURES = ("Open", "Close")
@@ -101,3 +102,24 @@ def test_runs_by_experiment(spark):
         assert model.transform(df).where(F.col("prediction") >= int(r["params"]["k"])).isEmpty()
     with pytest.raises(Exception):
         clustering.load_run(models, uuid.uuid4().hex)
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_best_matching(seed):
+    rng = np.random.default_rng(seed)
+    n = int(rng.integers(1, 6))
+    m = n + int(rng.integers(0, 3))
+    weights = [[int(x) for x in row] for row in rng.integers(0, rng.choice([2, 50]), (n, m))]
+    chosen = joins.best_matching(weights)
+    assert len(set(chosen)) == n
+    best = max(sum(weights[i][c] for i, c in enumerate(p)) for p in itertools.permutations(range(m), n))
+    assert sum(weights[i][c] for i, c in enumerate(chosen)) == best
+
+
+def test_aligned_where_the_largest_overlap_misleads(spark):
+    """Taking 10 first leaves 0 + 10; 9 and 9 agree more often."""
+    rows = [(0, 0)] * 10 + [(0, 1)] * 9 + [(1, 0)] * 9 + [(None, 0), (1, None), (2, None)]
+    df = spark.createDataFrame(rows, "a int, b int")
+    out = joins.align_labels(df, "a", "b")
+    assert out.where("a = b").count() == 18 and out.where("a IS NULL").count() == 1
+    assert out.select("a").distinct().count() == 4
