@@ -1,4 +1,4 @@
-"""Removal of byte strings that stand more than once, by blockwise suffix construction over a cover sample.
+"""Removal of byte strings that stand more than once, by buckets of suffixes that share a content-drawn sample.
 
 A suffix counts up to ``LENGTH`` bytes, so the question is which suffixes tie with another to that depth.
 
