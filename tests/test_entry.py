@@ -22,6 +22,7 @@ def test_without(missing):
     assert "friday_effect" in found and "pipeline" not in found
 
 
+@pytest.mark.skipif(not os.path.isdir(os.path.join(ROOT, "marketlens", "llm")), reason="the optional part is not there")
 def test_other_faults_are_told():
     """Only a missing import is an excuse."""
     with pytest.raises(subprocess.CalledProcessError):
