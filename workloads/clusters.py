@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import functions as F
 
 from marketlens.operators import aggregates as agg
@@ -109,14 +111,18 @@ def kmeans_nearest(spark, sf):
 
 @query("gmm_assign", with_sql("SELECT count(*) AS rows, CAST(0 AS BIGINT) AS misplaced, CAST(2 AS BIGINT) AS clusters FROM bars_supplier"))
 def gmm_assign(spark, sf):
-    """Every row's densities are worked out from the fitted weights, means and covariances; none may beat its own."""
+    """Every row's densities are worked out from the fitted weights, means and covariances; none may beat its own.
+
+    A fitted mixture places rows by weight times density plus the machine's epsilon, so that rows far from all components tie.
+    """
     bars = _features(spark, sf)
     model = clustering.gmm_pipeline(2).fit(bars)
     logs = clustering.mixture_log_densities(model.stages[-1], clustering.RANGE_FEATURES)
-    placed = model.transform(bars).select("prediction", logs.alias("logs"))
-    own, most = F.get("logs", F.col("prediction")), F.array_max("logs")
+    shares = F.transform(logs, lambda x: F.exp(x) + F.lit(sys.float_info.epsilon))
+    placed = model.transform(bars).select("prediction", shares.alias("shares"))
+    own, most = F.get("shares", F.col("prediction")), F.array_max("shares")
     return placed.agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(own < most - 1e-6 * (1 + F.abs(most))).alias("misplaced"),
+        F.count(F.lit(1)).alias("rows"), F.count_if(own < most * (1 - 1e-6)).alias("misplaced"),
         F.count_distinct("prediction").alias("clusters"),
     )
 
