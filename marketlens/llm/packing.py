@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .wordwise import tokenizer
+from .wordwise import steps, tokenizer
 
 TOKENS, SEGMENTS = 2048, 256
 WAITING = 2048
@@ -159,8 +159,7 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int, tokens: int = TOKENS, se
             return batch
 
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                b = batch.slice(lo, 500)
+            for b in steps(batch, "text"):
                 texts = b.column("text")
                 for doc_id, ids, chars, text in zip(b.column("doc_id").to_pylist(), words.encode(texts), b.column("loss").to_pylist(), texts):
                     ids = np.append(ids, np.uint32(end_id)).astype("<u4")

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .wordwise import tokenizer
+from .wordwise import steps, tokenizer
 
 ROW_GROUP_BYTES = 32 << 20
 PAGE_ROWS = 2_000
@@ -36,8 +36,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int, parts: int |
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, at, part = tokenizer(vocabulary), 0, TaskContext.get().partitionId()
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1000):
-                b = batch.slice(lo, 1000)
+            for b in steps(batch, "text"):
                 ids = [np.append(x, np.uint32(end_id)) for x in words.encode(b.column("text"))]
                 n = np.array([len(x) for x in ids], np.int64)
                 starts = at + np.cumsum(n) - n

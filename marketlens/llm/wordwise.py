@@ -13,6 +13,8 @@ from __future__ import annotations
 
 import json
 import os
+import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +23,7 @@ import pyarrow.compute as pc
 #: Pieces that a worker remembers; beyond, it starts anew, which costs time only.
 REMEMBER = 1 << 20
 #: Bytes of text that are handled at a time, unless a single text is longer.
-STEP = 2_000_000
+STEP = 8_000_000
 
 _OTHER, _LETTER, _DIGIT, _SIGN, _BLANK = range(5)
 _CLASS = np.zeros(256, np.uint8)
@@ -35,6 +37,8 @@ for _b in b" \t\n\x0b\f\r":
     _CLASS[_b] = _BLANK
 _CLASS[ord("'")] = _OTHER
 
+_LETTERS = rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+"
+
 _open: dict[str, "WordWise"] = {}
 
 
@@ -45,6 +49,16 @@ def tokenizer(path: str) -> "WordWise":
     return _open[path]
 
 
+def steps(batch: pa.RecordBatch, column: str, size: int = STEP) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows whose texts hold at most ``size`` bytes, or a single longer one."""
+    ends = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    a = 0
+    while a < batch.num_rows:
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + size, "right")))
+        yield batch.slice(a, b - a)
+        a = b
+
+
 class WordWise:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -61,6 +75,8 @@ class WordWise:
         self.marked = np.zeros(max(names.values()) + 1, bool)
         for name, i in names.items():
             self.marked[i] = name.endswith("</w>") if self.word_ends else name.startswith("Ġ")
+        #: Only letters; before them, where spaces count, exactly one space.
+        self.is_word = re.compile(_LETTERS if self.word_ends else b" " + _LETTERS).fullmatch
         self.forget()
 
     def forget(self) -> None:
@@ -69,46 +85,50 @@ class WordWise:
         self.starts = np.zeros(1 << 16, np.int64)  # place i of self.ids to place i + 1 hold piece i
         self.n = 0
 
-    def _learn(self, ids) -> int:
-        a = self.starts[self.n]
-        b = a + len(ids)
-        while b > len(self.ids):
+    def _learn(self, pieces: list[bytes], ids: np.ndarray, ends: np.ndarray) -> None:
+        """Note pieces whose ids stand one after the other, piece i's up to ``ends[i]``."""
+        a, n = self.starts[self.n], len(pieces)
+        while a + len(ids) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-        if self.n + 2 > len(self.starts):
+        while self.n + n + 1 > len(self.starts):
             self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-        self.ids[a:b] = ids
-        self.n += 1
-        self.starts[self.n] = b
-        return self.n - 1
+        self.ids[a:a + len(ids)] = ids
+        self.starts[self.n + 1:self.n + n + 1] = a + ends
+        self.at.update(zip(pieces, range(self.n, self.n + n)))
+        self.n += n
 
     def _places(self, pieces: list[bytes]) -> np.ndarray:
         """The place of each distinct piece, learned first if it is new."""
         if self.n > REMEMBER:
             self.forget()
+        known = list(map(self.at.get, pieces))
+        new = [p for p, place in zip(pieces, known) if place is None]
+        if new:
+            self._learn_new(new)
+            known = list(map(self.at.__getitem__, pieces))
+        return np.array(known, np.int64)
+
+    def _learn_new(self, new: list[bytes]) -> None:
         words, rest = {}, []
-        for p in pieces:
-            if p not in self.at:
-                word = p.strip().lower() if self.word_ends else p
-                if self._is_word(word):
-                    words[p] = word
-                else:
-                    rest.append(p)
+        for p in new:
+            word = p.strip().lower() if self.word_ends else p
+            if self.is_word(word):
+                words[p] = word
+            else:
+                rest.append(p)
         plain = [w for w in dict.fromkeys(words.values()) if w not in self.at]
         for i in range(0, len(plain), 1000):
             self._learn_words(plain[i:i + 1000])
-        for p, word in words.items():
-            self.at[p] = self.at[word]
-        for p, e in zip(rest, self.whole.encode_batch([p.decode() for p in rest], add_special_tokens=False) if rest else ()):
-            self.at[p] = self._learn(e.ids)
-        return np.fromiter((self.at[p] for p in pieces), np.int64, len(pieces))
-
-    def _is_word(self, p: bytes) -> bool:
-        """Only letters; before them, where spaces count, exactly one space."""
-        if not self.word_ends:
-            if p[:1] != b" ":
-                return False
-            p = p[1:]
-        return bool(p) and (p.isalpha() if p.isascii() else bool((_classes(np.frombuffer(p, np.uint8)) == _LETTER).all()))
+        if self.word_ends:
+            for p, word in words.items():
+                self.at[p] = self.at[word]
+        if rest:
+            self._learn_each(rest)
+
+    def _learn_each(self, pieces: list[bytes]) -> None:
+        found = [e.ids for e in self.whole.encode_batch([p.decode() for p in pieces], add_special_tokens=False)]
+        ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
+        self._learn(pieces, np.array([i for ids in found for i in ids], np.uint32), ends)
 
     def _learn_words(self, words: list[bytes]) -> None:
         text = b" ".join(words) if self.word_ends else b"".join(words)
@@ -116,24 +136,15 @@ class WordWise:
         at = np.flatnonzero(self.marked[ids])
         bounds = np.concatenate([[0], at + 1]) if self.word_ends else np.concatenate([at, [len(ids)]])
         if len(bounds) == len(words) + 1 and bounds[0] == 0 and bounds[-1] == len(ids):
-            for w, a, b in zip(words, bounds, bounds[1:]):
-                self.at[w] = self._learn(ids[a:b])
+            self._learn(words, ids, bounds[1:])
         else:  # the marks don't tell these words apart
-            for w in words:
-                self.at[w] = self._learn(self.whole.encode(w.decode(), add_special_tokens=False).ids)
+            self._learn_each(words)
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Token ids (uint32) of each text; a null counts as empty."""
         texts = texts.cast(pa.large_string()).fill_null("")
-        out: list[np.ndarray] = []
-        sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
-        a = 0
-        while a < len(texts):
-            done = sizes[a - 1] if a else 0
-            b = max(a + 1, int(np.searchsorted(sizes, done + STEP, "right")))
-            out += self._encode(texts.slice(a, b - a))
-            a = b
-        return out
+        batch = pa.RecordBatch.from_arrays([texts], ["text"])
+        return [ids for step in steps(batch, "text") for ids in self._encode(step.column("text"))]
 
     def _encode(self, texts: pa.Array) -> list[np.ndarray]:
         special = pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)
@@ -157,7 +168,10 @@ class WordWise:
             places = np.append(np.flatnonzero(cut), len(buf))
             pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(places) - 1, [None, pa.py_buffer(places.astype(np.int64)), pa.py_buffer(buf)])
             known = pieces.dictionary_encode()
-            place = self._places(known.dictionary.to_pylist())[known.indices.to_numpy()]
+            _, ends, piece_data = known.dictionary.buffers()
+            ends = np.frombuffer(ends, np.int64)[:len(known.dictionary) + 1].tolist()
+            piece_data = piece_data.to_pybytes()
+            place = self._places([piece_data[i:j] for i, j in zip(ends, ends[1:])])[known.indices.to_numpy()]
             first, n = self.starts[place], self.starts[place + 1] - self.starts[place]
             upto = np.concatenate([[0], np.cumsum(n)])
             ids = self.ids[np.repeat(first - upto[:-1], n) + np.arange(upto[-1])]
