@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.operators.skew import first_per_key
+from marketlens.operators.skew import first_per_key, smallest_digests
 
 
 def ordered_history(df: DataFrame, by: Sequence[str] = ("Ticker", "Date")) -> DataFrame:
@@ -38,8 +38,7 @@ def scatter_sample(
     ]
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
     points = df.select("Date", "Ticker", "Close", "Volume", digest.alias("__pick")).na.drop(subset=["Close", "Volume"])
-    order = [F.col(c) for c in ("__pick", "Date", "Close", "Volume")]
-    return first_per_key(points, ["Ticker"], order, n).drop("__pick")
+    return smallest_digests(points, ["Ticker"], "__pick", n).drop("__pick")
 
 
 def best_run(runs: DataFrame, metric: str) -> DataFrame:

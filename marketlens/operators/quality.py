@@ -165,16 +165,23 @@ def validate(df: DataFrame, suites: dict[str, Sequence[Rule]]) -> DataFrame:
             _result(s, i, r, F.col(f"e{j}"), F.col(f"u{j}")) for j, (s, i, r) in enumerate(scalar)
         ])
         parts.append(df.agg(*counts).select(F.inline(results)))
-    for s, i, r in numbered:
-        if r.expectation_type == UNIQUE:
-            copies = df.filter(F.col(quoted(r.column)).isNotNull()).groupBy(quoted(r.column)).agg(
-                F.count(F.lit(1)).alias("__n")
-            )
-            total = copies.agg(
-                F.coalesce(F.sum("__n"), F.lit(0)).alias("e"),
-                F.coalesce(F.sum(F.when(F.col("__n") > 1, F.col("__n"))), F.lit(0)).alias("u"),
-            )
-            parts.append(total.select(F.inline(F.array(_result(s, i, r, F.col("e"), F.col("u"))))))
+    unique = [(s, i, r) for s, i, r in numbered if r.expectation_type == UNIQUE]
+    if unique:
+        # A grouping set a column: each row stands once for every rule, and copies are combined before the shuffle.
+        named = sorted({r.column for _, _, r in unique})
+        values = df.select(*[F.col(quoted(c)).alias(f"v{j}") for j, c in enumerate(named)])
+        keys = [F.col(f"v{j}") for j in range(len(named))]
+        copies = values.groupingSets([[k] for k in keys], *keys).agg(F.count(F.lit(1)).alias("__n"), F.grouping_id().alias("__set"))
+        all_set, counts = 2 ** len(named) - 1, []
+        for j in range(len(named)):
+            n = F.when((F.col("__set") == all_set - 2 ** (len(named) - 1 - j)) & F.col(f"v{j}").isNotNull(), F.col("__n"))
+            counts += [
+                F.coalesce(F.sum(n), F.lit(0)).alias(f"e{j}"),
+                F.coalesce(F.sum(F.when(F.col("__n") > 1, n)), F.lit(0)).alias(f"u{j}"),
+            ]
+        at = {c: j for j, c in enumerate(named)}
+        results = F.array(*[_result(s, i, r, F.col(f"e{at[r.column]}"), F.col(f"u{at[r.column]}")) for s, i, r in unique])
+        parts.append(copies.agg(*counts).select(F.inline(results)))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 

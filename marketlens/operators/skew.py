@@ -24,7 +24,7 @@ from marketlens.schemas import quoted
 
 ROWS_PER_SLICE = 8_000_000
 _OVERSAMPLE = 16
-_SEARCH_STEPS = [1 << s for s in range(19, -1, -1)]
+_SEARCH_STEPS = [1 << s for s in range(29, -1, -1)]
 
 
 def _look_up(df: DataFrame, small: DataFrame, key: Sequence[str], how: str) -> DataFrame:
@@ -40,7 +40,7 @@ def _point(order: Sequence[str]) -> Column:
 
 
 def cut_points(df: DataFrame, key: Sequence[str], order: Sequence[str], rows_per_slice: int) -> DataFrame:
-    """``(key, __cuts)`` for the heavy keys: sorted positions that start a new slice.
+    """``(key, __slice, __point)`` for the heavy keys: the position at which each slice from 1 on starts.
 
     The positions come from a sample chosen by hash, so every run and every
     retried task sees the same cuts.  The sample only places the cuts; no row
@@ -48,15 +48,16 @@ def cut_points(df: DataFrame, key: Sequence[str], order: Sequence[str], rows_per
     """
     share = min(1.0, _OVERSAMPLE / rows_per_slice)
     picked = F.shiftrightunsigned(F.xxhash64(*key, *order), 33) < F.lit(int(share * 2**31))
-    every = F.lit(_OVERSAMPLE)
     sample = df.select(*key, *order).filter(picked)
     if key:
         sizes = df.groupBy(*key).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > rows_per_slice)
         sample = _look_up(sample, sizes.select(*key), key, "inner")
+    place = F.row_number().over(Window.partitionBy(*key).orderBy("__point"))
     return (
-        sample.groupBy(*key)
-        .agg(F.array_sort(F.collect_set(_point(order))).alias("__points"))
-        .select(*key, F.filter("__points", lambda _, i: (i + 1) % every == 0).alias("__cuts"))
+        sample.select(*key, _point(order).alias("__point")).distinct()
+        .withColumn("__place", place)
+        .filter(F.col("__place") % _OVERSAMPLE == 0)
+        .select(*key, F.floor(F.col("__place") / _OVERSAMPLE).cast("int").alias("__slice"), "__point")
     )
 
 
@@ -74,10 +75,11 @@ def _slice_number(order: Sequence[str]) -> Column:
 
 def with_slices(df: DataFrame, cuts: DataFrame, key: Sequence[str], order: Sequence[str], heavy_only: bool = False) -> DataFrame:
     """Add ``__slice``; 0 for every row of a light key.  Without a key the whole table is cut."""
+    lists = cuts.groupBy(*key).agg(F.array_sort(F.collect_list("__point")).alias("__cuts"))
     if key:
-        joined = _look_up(df, cuts, key, "inner" if heavy_only else "left")
+        joined = _look_up(df, lists, key, "inner" if heavy_only else "left")
     else:
-        joined = df.withColumn("__cuts", cuts.scalar())
+        joined = df.withColumn("__cuts", lists.scalar())
     return joined.withColumn("__slice", _slice_number(order)).select(*map(quoted, df.columns), "__slice")
 
 
@@ -98,21 +100,29 @@ def ordered_window(
     columns = df.columns
 
     last_first = Window.partitionBy(*key, "__slice").orderBy(*[F.col(c).desc_nulls_last() for c in order])
-    along = Window.partitionBy(*key).orderBy(*order)
     tails = (
         with_slices(df, cuts, key, order, heavy_only=True)
         .withColumn("__back", F.row_number().over(last_first))
         .filter(F.col("__back") <= lookback)
     )
+    # A tail goes to the next slice, and beyond it only where the slices between hold too few rows.
+    along = Window.partitionBy(*key).orderBy("__slice")
+    told = (
+        tails.groupBy(*key, "__slice").agg(F.count(F.lit(1)).alias("__n"))
+        .withColumn("__upto", F.sum("__n").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("__before", F.col("__upto") - F.col("__n"))
+    )
+    after = F.collect_list(F.struct(F.col("__slice").alias("__to"), "__before")).over(along.rowsBetween(1, max(lookback, 1)))
+    routes = (
+        told.select(*key, "__slice", "__upto", after.alias("__after"))
+        .select(*key, "__slice", "__upto", F.inline("__after"))
+        .select(*key, "__slice", "__to", (F.lit(lookback) + F.col("__upto") - F.col("__before")).alias("__room"))
+        .filter(F.col("__room") > 0)
+    )
     halo = (
-        tails.select(
-            "__slice",
-            F.lag("__slice").over(along).alias("__before"),
-            F.collect_list(F.struct(*map(quoted, columns))).over(along.rowsBetween(-lookback, -1)).alias("__rows"),
-        )
-        .filter(F.col("__before") < F.col("__slice"))
-        .select("__slice", F.inline("__rows"))
-        .withColumn("__halo", F.lit(True))
+        _look_up(tails, routes, [*key, "__slice"], "inner")
+        .filter(F.col("__back") <= F.col("__room"))
+        .select(*map(quoted, columns), F.col("__to").alias("__slice"), F.lit(True).alias("__halo"))
     )
     rows = with_slices(df, cuts, key, order).withColumn("__halo", F.lit(False)).unionByName(halo)
     window = Window.partitionBy(*key, "__slice").orderBy(*order)
@@ -145,6 +155,35 @@ def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column], n:
     return ranked.filter(F.col("__rank") <= n).drop("__rank")
 
 
+def smallest_digests(df: DataFrame, key: Sequence[str], digest: str, n: int) -> DataFrame:
+    """The ``n`` rows of each key with the smallest hexadecimal digests; equal digests go by the other columns.
+
+    Rows are counted by the first four digits, which tells the digits of a key's n-th row.  Only rows up to those
+    digits go on: about ``n`` and a 65536th of the key's rows.  Equal rows travel and are ranked as one with a count.
+    """
+    columns = df.columns
+    digits = F.substring(digest, 1, 4)
+    along = Window.partitionBy(*key).orderBy("__digits").rowsBetween(Window.unboundedPreceding, 0)
+    last = (
+        df.groupBy(*key, digits.alias("__digits")).agg(F.count(F.lit(1)).alias("__n"))
+        .withColumn("__upto", F.sum("__n").over(along))
+        .filter((F.col("__upto") >= n) & (F.col("__upto") - F.col("__n") < n))
+        .select(*[F.col(quoted(k)).alias(f"__key{i}") for i, k in enumerate(key)], F.col("__digits").alias("__last"))
+    )
+    same = reduce(and_, [F.col(quoted(k)).eqNullSafe(F.col(f"__key{i}")) for i, k in enumerate(key)])
+    order = [quoted(c) for c in columns if c not in (*key, digest)]
+    so_far = Window.partitionBy(*key).orderBy(quoted(digest), *order).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        df.join(last, same, "left")
+        .filter(F.col("__last").isNull() | (digits <= F.col("__last")))
+        .groupBy(*map(quoted, columns)).agg(F.count(F.lit(1)).alias("__copies"))
+        .withColumn("__left", F.lit(n) - F.coalesce(F.sum("__copies").over(so_far), F.lit(0)))
+        .filter(F.col("__left") > 0)
+        .select(*map(quoted, columns), F.explode(F.sequence(F.lit(1).cast("long"), F.least("__copies", "__left"))).alias("__copy"))
+        .drop("__copy")
+    )
+
+
 def ranked(
     df: DataFrame,
     key: Sequence[str],

@@ -1,10 +1,13 @@
 """Sliced work equals the plain window, also where one key holds most rows."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marketlens.operators import aggregates, ordering, skew, windows
+from workloads import bars, ingest
 
 
 def series(spark, rows=3000, hot=2000):
@@ -41,7 +44,8 @@ def test_only_heavy_keys_are_cut_and_into_many_slices(spark):
     df = series(spark)
     cuts = skew.cut_points(df, ["Ticker"], ["EventTS", "id"], 200)
     rows = cuts.collect()
-    assert [r["Ticker"] for r in rows] == ["HOT"] and len(rows[0]["__cuts"]) >= 5
+    assert {r["Ticker"] for r in rows} == {"HOT"} and len(rows) >= 5
+    assert sorted(r["__slice"] for r in rows) == list(range(1, len(rows) + 1))
     largest = skew.with_slices(df, cuts, ["Ticker"], ["EventTS", "id"]).groupBy("Ticker", "__slice").count().agg(F.max("count")).first()[0]
     assert largest < 3 * 200
 
@@ -49,7 +53,7 @@ def test_only_heavy_keys_are_cut_and_into_many_slices(spark):
 def test_rows_without_a_key_are_cut_too(spark):
     df = series(spark).withColumn("Ticker", F.when(F.col("Ticker") != "HOT", F.col("Ticker")))
     cuts = skew.cut_points(df, ["Ticker"], ["EventTS", "id"], 200).collect()
-    assert [r["Ticker"] for r in cuts] == [None] and len(cuts[0]["__cuts"]) >= 5
+    assert {r["Ticker"] for r in cuts} == {None} and len(cuts) >= 5
     w = Window.partitionBy("Ticker").orderBy("EventTS", "id")
     sliced = skew.ordered_window(df, ["Ticker"], ["EventTS", "id"], 3, lambda w: {"prev": F.lag("Close", 3).over(w)}, 200)
     same(sliced, df.withColumn("prev", F.lag("Close", 3).over(w)))
@@ -105,3 +109,64 @@ def test_sample_is_complete_below_its_size_and_repeatable(spark):
     assert small.filter("Ticker = 'HOT'").count() == 1200
     assert small.filter("Ticker = 'T1'").count() == bars.filter("Ticker = 'T1' and Close is not null").count()
     same(small, ordering.scatter_sample(bars.repartition(5), 1200))
+
+
+def test_search_among_many_cuts(spark):
+    df = series(spark)
+    for key in (["Ticker"], []):
+        cuts = skew.cut_points(df, key, ["EventTS", "id"], 20)
+        points = [(r["Ticker"] if key else None, tuple(r["__point"])) for r in cuts.collect()]
+        assert len(points) > 30
+        last = dt.datetime(1, 1, 1)
+        place = lambda ts, i: (ts is not None, ts or last, i)  # noqa: E731  nulls come first
+        for r in skew.with_slices(df, cuts, key, ["EventTS", "id"]).collect():
+            here = place(r["EventTS"], r["id"])
+            assert r["__slice"] == sum(place(*p) <= here for k, p in points if not key or k == r["Ticker"])
+    w = Window.orderBy("EventTS", "id")
+    sliced = skew.ordered_window(df, [], ["EventTS", "id"], 9, lambda w: {"n": F.count("id").over(w.rowsBetween(-9, 0)), "p": F.lag("Close", 9).over(w)}, 20)
+    same(sliced, df.withColumns({"n": F.count("id").over(w.rowsBetween(-9, 0)), "p": F.lag("Close", 9).over(w)}))
+
+
+def test_frames_longer_than_slices(spark):
+    df = series(spark)
+    w = Window.partitionBy("Ticker").orderBy("EventTS", "id")
+    build = lambda w: {"sum": F.sum("Close").over(w.rowsBetween(-90, 0)), "far": F.lag("id", 90).over(w)}
+    same(skew.ordered_window(df, ["Ticker"], ["EventTS", "id"], 90, build, 16), df.withColumns(build(w)))
+    alone = lambda w: {"own": F.sum("Close").over(w.rowsBetween(0, 0))}
+    same(skew.ordered_window(df, ["Ticker"], ["EventTS", "id"], 0, alone, 40), df.withColumns(alone(w)))
+
+
+def test_copies_are_sampled_as_one_row_with_a_count(spark):
+    copies = spark.range(1_000_000).select(
+        F.lit(dt.date(2024, 1, 1)).alias("Date"), F.lit("HOT").alias("Ticker"), F.lit(1.0).alias("Close"), F.lit(2.0).alias("Volume")
+    )
+    others = series(spark).select(F.date_from_unix_date(F.col("id").cast("int")).alias("Date"), "Ticker", "Close", F.col("Close").alias("Volume"))
+    df = others.unionByName(copies)
+    digest = F.md5(F.concat_ws("|", F.lit("42"), F.date_format("Date", "yyyy-MM-dd"), F.col("Ticker"),
+                               *[F.col(c).try_cast("decimal(38,6)").cast("string") for c in ("Close", "Volume")]))
+    rank = F.row_number().over(Window.partitionBy("Ticker").orderBy(digest, "Date", "Close", "Volume"))
+    for n in (20, 5000):
+        want = df.na.drop(subset=["Close", "Volume"]).withColumn("r", rank).filter(F.col("r") <= n).drop("r")
+        got = ordering.scatter_sample(df, n)
+        same(got.groupBy(*got.columns).count(), want.groupBy(*got.columns).count())
+
+
+def test_violin_multiplies_no_row(spark):
+    rows = series(spark).select("Ticker", F.lit("Weekday").alias("IsFriday"), F.col("Close").alias("Return"))
+    plan = aggregates.return_violin(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate") == 1  # the grid of a finished group
+
+
+def test_registered_queries_meet_many_slices(spark):
+    """At least eight slices of the heaviest key in each query that is there to cross slices."""
+    sf = "/root/testdata/sf0.01"
+    events = bars.table(spark, sf, "events")
+    returns = bars._user_returns(spark, sf).groupBy("IsFriday", "Return").count()
+    wide = bars.closes_wide(spark, sf).select(F.to_date("Fecha", "dd/MM/yyyy").alias("Dia"))
+    for df, key, order, rows in (
+        (events, ["event_type"], ["ts", "event_id"], bars.SLICE),
+        (wide, [], ["Dia"], bars.SLICE),
+        (events, [], ["event_id"], ingest.EVENT_SLICE),
+        (returns, ["IsFriday"], ["Return"], bars.SLICE),
+    ):
+        assert skew.cut_points(df, key, order, rows).agg(F.max("__slice")).first()[0] >= 7

@@ -8,9 +8,12 @@ from marketlens import functions as fn
 from marketlens.operators import aggregates as agg
 from marketlens.operators import filters, joins, ordering, projections, sets, windows
 from workloads.adapters import (
-    NAMES, THRESHOLD, bars_supplier, bars_type, bars_user, closes_long, raw_bars, raw_lines, stored_bars, table, with_sql,
+    NAMES, THRESHOLD, bars_supplier, bars_type, bars_user, closes_long, closes_wide, raw_bars, raw_lines, stored_bars, table, with_sql,
 )
-from workloads.registry import query
+from workloads.registry import ORACLES, query
+
+#: Rows of a slice, so short that every key of some size is cut into many.
+SLICE = 100
 
 # --- flagship -------------------------------------------------------------------
 
@@ -73,6 +76,28 @@ def sma(spark, sf):
     return out.select("EventTS", "Ticker", "Close", F.round("SMA", 6).alias("SMA"))
 
 
+@query("sma_sliced", ORACLES["sma"])
+def sma_sliced(spark, sf):
+    """The same in short slices, at least eight a ticker."""
+    ticks = table(spark, sf, "events").select(
+        F.col("ts").alias("EventTS"), "event_id", F.col("event_type").alias("Ticker"), F.col("value").alias("Close")
+    )
+    out = windows.add_sma(ticks, ["EventTS", "event_id"], rows_per_slice=SLICE)
+    return out.select("EventTS", "Ticker", "Close", F.round("SMA", 6).alias("SMA"))
+
+
+@query("deficiency_notice_wide", with_sql(f"""
+SELECT *, sum(CASE WHEN "P1" < {THRESHOLD} THEN 1 ELSE 0 END) OVER (ORDER BY "Dia" ROWS BETWEEN 30 PRECEDING AND CURRENT ROW) >= 30
+  AS "Deficiency Notice P1"
+FROM (SELECT strptime("Fecha", '%d/%m/%Y')::DATE AS "Dia", TRY_CAST("P1.MC" AS DOUBLE) AS "P1" FROM closes_wide)"""))
+def deficiency_notice_wide(spark, sf):
+    """One column of a wide table without any key: the table itself is cut into slices."""
+    wide = closes_wide(spark, sf).select(
+        F.to_date("Fecha", "dd/MM/yyyy").alias("Dia"), F.col("`P1.MC`").try_cast("double").alias("P1")
+    )
+    return windows.deficiency_notice_wide(wide, "P1", threshold=THRESHOLD, rows_per_slice=SLICE)
+
+
 @query("chart_series", with_sql("""
 SELECT "Date", "Ticker", "Close", "Low", "High", coalesce("Volume", 0) AS "Volume",
        round(avg("Close") OVER (PARTITION BY "Ticker" ORDER BY "Date" ROWS BETWEEN 9 PRECEDING AND CURRENT ROW), 6) AS "SMA"
@@ -244,7 +269,7 @@ def return_histogram(spark, sf):
     return agg.return_histogram(_user_returns(spark, sf))
 
 
-BOX_SQL = with_sql("""
+BOX_BODY = """
 WITH q AS (
   SELECT "Ticker", "IsFriday", quantile_cont("Return", 0.25) AS q1, quantile_cont("Return", 0.5) AS median,
          quantile_cont("Return", 0.75) AS q3
@@ -254,7 +279,8 @@ SELECT "Ticker", "IsFriday", count(*) AS n, round(avg("Return"), 6) AS mean, rou
        round(least(min("Return") FILTER ("Return" >= low_fence), q1), 6) AS whisker_low,
        round(greatest(max("Return") FILTER ("Return" <= high_fence), q3), 6) AS whisker_high,
        count(*) FILTER ("Return" < low_fence OR "Return" > high_fence) AS outliers
-FROM user_returns JOIN f USING ("Ticker", "IsFriday") GROUP BY "Ticker", "IsFriday", q1, median, q3""")
+FROM user_returns JOIN f USING ("Ticker", "IsFriday") GROUP BY "Ticker", "IsFriday", q1, median, q3"""
+BOX_SQL = with_sql(BOX_BODY)
 
 BOX_ROUNDED = ("mean", "q1", "median", "q3", "whisker_low", "whisker_high")
 
@@ -265,6 +291,17 @@ def return_box(spark, sf):
     return out.withColumns({c: F.round(c, 6) for c in BOX_ROUNDED})
 
 
+SQL_TYPE_RETURNS = """type_returns AS (
+  SELECT * FROM (SELECT "Date", "Ticker", "Close" / nullif(lag("Close") OVER (PARTITION BY "Ticker" ORDER BY "Date"), 0) - 1 AS "Return",
+    CASE WHEN dayname("Date") = 'Friday' THEN 'Friday' ELSE 'Weekday' END AS "IsFriday" FROM bars_type) WHERE "Return" IS NOT NULL)"""
+
+
+def _type_returns(spark, sf):
+    """Few tickers with long series."""
+    returns = windows.add_simple_return(bars_type(spark, sf).select("Date", "Ticker", "Close"), daily=True)
+    return filters.not_null(windows.add_is_friday(returns), "Return")
+
+
 @query("return_box_sliced", BOX_SQL)
 def return_box_sliced(spark, sf):
     """The same without relying on one return per day."""
@@ -272,6 +309,13 @@ def return_box_sliced(spark, sf):
     return out.withColumns({c: F.round(c, 6) for c in BOX_ROUNDED})
 
 
+@query("return_box_overall", with_sql(BOX_BODY.replace('"Ticker", ', "").replace("GROUP BY 1, 2", "GROUP BY 1")))
+def return_box_overall(spark, sf):
+    """Two groups that hold all returns, each ranked in many slices."""
+    out = agg.return_box(_user_returns(spark, sf), ["IsFriday"], rows_per_slice=SLICE)
+    return out.withColumns({c: F.round(c, 6) for c in BOX_ROUNDED})
+
+
 @query("box_outliers", BOX_SQL.replace(BOX_SQL[BOX_SQL.index('SELECT "Ticker", "IsFriday", count(*) AS n'):], """
 SELECT "Ticker", "Date", "IsFriday", "Return" FROM user_returns JOIN f USING ("Ticker", "IsFriday")
 WHERE "Return" < low_fence OR "Return" > high_fence"""))
@@ -280,26 +324,32 @@ def box_outliers(spark, sf):
     return agg.box_outliers(returns, daily=True)
 
 
-SQL_TYPE_RETURNS = """type_returns AS (
-  SELECT * FROM (SELECT "Date", "Ticker", "Close" / nullif(lag("Close") OVER (PARTITION BY "Ticker" ORDER BY "Date"), 0) - 1 AS "Return",
-    CASE WHEN dayname("Date") = 'Friday' THEN 'Friday' ELSE 'Weekday' END AS "IsFriday" FROM bars_type) WHERE "Return" IS NOT NULL)"""
+VIOLIN_ROUNDED = ("mean", "median", "lo", "hi", "value", "density")
 
 
-@query("return_violin", with_sql(f"""
-WITH {SQL_TYPE_RETURNS},
-s AS (SELECT "Ticker", "IsFriday", count(*) AS n, avg("Return") AS mean, median("Return") AS median, min("Return") AS lo, max("Return") AS hi,
-        stddev_samp("Return") * pow(count(*), -0.2) AS h FROM type_returns GROUP BY 1, 2),
+def _violin_sql(returns: str, first: str = "") -> str:
+    return with_sql(f"""
+WITH {first} s AS (SELECT "Ticker", "IsFriday", count(*) AS n, avg("Return") AS mean, median("Return") AS median, min("Return") AS lo, max("Return") AS hi,
+        stddev_samp("Return") * pow(count(*), -0.2) AS h FROM {returns} GROUP BY 1, 2),
 g AS (SELECT s.*, CAST(p AS INTEGER) AS point, lo + (hi - lo) / 99 * p AS value FROM s CROSS JOIN range(100) t(p)),
 k AS (SELECT g."Ticker", g."IsFriday", point, sum(exp(-0.5 * ((value - "Return") / h) ** 2)) AS total
-      FROM g JOIN type_returns r ON g."Ticker" = r."Ticker" AND g."IsFriday" = r."IsFriday" AND hi > lo GROUP BY 1, 2, 3)
+      FROM g JOIN {returns} r ON g."Ticker" = r."Ticker" AND g."IsFriday" = r."IsFriday" AND hi > lo GROUP BY 1, 2, 3)
 SELECT g."Ticker", g."IsFriday", n, round(mean, 6) AS mean, round(median, 6) AS median, round(lo, 6) AS lo, round(hi, 6) AS hi, point,
        round(value, 6) AS value, round(CASE WHEN hi > lo THEN total / (n * h * sqrt(2 * pi())) ELSE 1 END, 6) AS density
-FROM g LEFT JOIN k USING ("Ticker", "IsFriday", point)"""))
+FROM g LEFT JOIN k USING ("Ticker", "IsFriday", point)""")
+
+
+@query("return_violin", _violin_sql("type_returns", SQL_TYPE_RETURNS + ","))
 def return_violin(spark, sf):
-    returns = windows.add_simple_return(bars_type(spark, sf).select("Date", "Ticker", "Close"), daily=True)
-    returns = filters.not_null(windows.add_is_friday(returns), "Return")
-    out = agg.return_violin(returns, daily=True)
-    return out.withColumns({c: F.round(c, 6) for c in ("mean", "median", "lo", "hi", "value", "density")})
+    out = agg.return_violin(_type_returns(spark, sf), daily=True)
+    return out.withColumns({c: F.round(c, 6) for c in VIOLIN_ROUNDED})
+
+
+@query("return_violin_user", _violin_sql("user_returns"))
+def return_violin_user(spark, sf):
+    """Many tickers, whose medians do not rely on one return per day."""
+    out = agg.return_violin(_user_returns(spark, sf))
+    return out.withColumns({c: F.round(c, 6) for c in VIOLIN_ROUNDED})
 
 
 # --- order, heads, samples --------------------------------------------------------
@@ -336,6 +386,11 @@ def scatter_sample(spark, sf):
     return ordering.scatter_sample(raw_bars(spark, sf), 20)
 
 
+@query("scatter_sample_large", ORACLES["scatter_sample"].replace("<= 20", "<= 5000"))
+def scatter_sample_large(spark, sf):
+    return ordering.scatter_sample(raw_bars(spark, sf), 5000)
+
+
 # --- set operations ---------------------------------------------------------------
 
 @query("union_bars", with_sql("SELECT * FROM bars_user UNION ALL SELECT * FROM bars_type"))

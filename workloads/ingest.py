@@ -186,12 +186,16 @@ def text_ops(spark, sf):
 
 # --- event time -------------------------------------------------------------------
 
+#: Rows of a slice, so short that the table is cut into many.
+EVENT_SLICE = 500
+
+
 @query("derive_event_ts", """
 SELECT event_id, make_timestamp((row_number() OVER (ORDER BY event_id) - 1) * 1000000) AS "EventTS" FROM events""")
 def derive_event_ts(spark, sf):
     """No time anywhere: one second per row, numbered across slices of the table."""
     rows = table(spark, sf, "events").select("event_id", F.lit(None).cast("string").alias("Datetime"))
-    return projections.derive_event_ts(rows, ["event_id"], rows_per_slice=200_000).select("event_id", "EventTS")
+    return projections.derive_event_ts(rows, ["event_id"], rows_per_slice=EVENT_SLICE).select("event_id", "EventTS")
 
 
 @query("normalize_any", with_sql(f"""
