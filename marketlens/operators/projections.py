@@ -214,38 +214,59 @@ def stringify_temporal(df: DataFrame) -> DataFrame:
     ])
 
 
-def derive_event_ts(df: DataFrame, order: Sequence[str] | None = None, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+def _sortable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_sortable(f.dataType) for f in kind)
+    if isinstance(kind, T.ArrayType):
+        return _sortable(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType, T.CalendarIntervalType))
+
+
+def derive_event_ts(
+    df: DataFrame, order: Sequence[str] | None = None, rows_per_slice: int = ROWS_PER_SLICE, timed: bool = False
+) -> DataFrame:
     """Event time from ``EventTS``, else ``Datetime``, else ``Date``, else one second per row from 1970.
 
-    The last resort also applies where the chosen column has no usable value at all.
-    It needs ``order`` to number the rows.
+    The last resort also applies where the chosen column has no usable value at all.  Rows are
+    numbered by ``order``, without it by all columns that can be sorted, so that only equal rows tie.
+    Whether any time is known is found while the result is computed; rows without a time keep null if so.
+    ``timed`` states that some time is known, which leaves the numbering out of the plan.
     """
     source = next((c for c in ("EventTS", "Datetime", "Date") if c in df.columns), None)
     rest = [quoted(c) for c in df.columns if c != "EventTS"]
     stamp = as_timestamp(df, source) if source else F.lit(None).cast("timestamp_ntz")
     stamped = df.select(stamp.alias("EventTS"), *rest)
-    if order is None or (source and not stamped.filter(F.col("EventTS").isNotNull()).isEmpty()):
+    if timed:
         return stamped
-    numbered = row_index(df, order, "__i", rows_per_slice)
+    lost, kept = stamped, None
+    if source:
+        known = stamped.agg(F.max("EventTS")).scalar()
+        none_known = F.col("EventTS").isNull() & known.isNull()
+        lost, kept = stamped.filter(none_known), stamped.filter(~none_known)
+    order = order or [f.name for f in stamped.schema if _sortable(f.dataType)]
+    numbered = row_index(lost, [quoted(c) for c in order], "__i", rows_per_slice)
     start = F.lit("1970-01-01").cast("timestamp_ntz")
     # Days and seconds apart: the seconds of an interval are a decimal of twelve digits in all.
     days, seconds = F.floor(F.col("__i") / 86400).cast("int"), F.pmod(F.col("__i"), F.lit(86400))
-    return numbered.select((start + F.make_dt_interval(days=days, secs=seconds)).alias("EventTS"), *rest)
+    made = numbered.select((start + F.make_dt_interval(days=days, secs=seconds)).alias("EventTS"), *rest)
+    return kept.unionByName(made) if source else made
 
 
-def normalize_any(df: DataFrame, order: Sequence[str] | None = None, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+def normalize_any(
+    df: DataFrame, order: Sequence[str] | None = None, rows_per_slice: int = ROWS_PER_SLICE, timed: bool = False
+) -> DataFrame:
     """Any stored tick or bar table as ``EventTS, Ticker, Close, High, Low, Volume``.
 
     Rows without ticker or close are left out; other missing measures are null.
     """
-    timed = derive_event_ts(df, order, rows_per_slice)
+    stamped = derive_event_ts(df, order, rows_per_slice, timed)
 
     def number(*names: str) -> Column:
-        found = next((c for c in names if c in timed.columns), None)
-        return as_double(timed, found) if found else F.lit(None).cast("double")
+        found = next((c for c in names if c in stamped.columns), None)
+        return as_double(stamped, found) if found else F.lit(None).cast("double")
 
-    ticker = next((c for c in ("Ticker", "ticker") if c in timed.columns), None)
-    return timed.select(
+    ticker = next((c for c in ("Ticker", "ticker") if c in stamped.columns), None)
+    return stamped.select(
         "EventTS",
         (F.col(ticker).cast("string") if ticker else F.lit("UNKNOWN")).alias("Ticker"),
         number("Close", "price", "Open").alias("Close"),

@@ -120,10 +120,16 @@ def deficiency_notice_wide(
     )
 
 
-def chart_series(df: DataFrame, order: Sequence[str] = ("EventTS",), window: int = 10, daily: bool = False) -> DataFrame:
+def chart_series(
+    df: DataFrame,
+    order: Sequence[str] = ("EventTS",),
+    window: int = 10,
+    daily: bool = False,
+    rows_per_slice: int = ROWS_PER_SLICE,
+) -> DataFrame:
     """What a price chart draws: close, low-high band, moving average, volume with gaps as 0."""
     shown = ["Ticker", "Close", "Low", "High", "SMA"]
     times = [c for c in order if c not in (*shown, "Volume")]
-    return add_sma(df, order, window, daily).select(
+    return add_sma(df, order, window, daily, rows_per_slice).select(
         *times, *shown, F.coalesce("Volume", F.lit(0.0)).alias("Volume")
     )

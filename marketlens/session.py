@@ -29,6 +29,12 @@ def get_session(app: str = "marketlens", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all in it; a missing one is fine."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name below the shared folder in ``spark.checkpoint.dir``.
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -60,31 +63,66 @@ def read_parquet_or_none(spark: SparkSession, path: str, merge_schema: bool = Fa
         raise
 
 
+#: Files of one write job carry its id in their names and share their layout.
+_WRITE_JOB = re.compile(r"part-\d+-([0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})")
+
+
+def read_layouts(spark: SparkSession, path: str) -> list[DataFrame]:
+    """A stored table as one scan per layout, so that column types may differ between write jobs.
+
+    One file of each write job is asked for its layout, a file of unknown origin for its own.  Columns of folder
+    names are part of every scan.  A table of a single layout is one plain scan; nothing stored is an empty list.
+    """
+    whole = read_parquet_or_none(spark, path)
+    if whole is None:
+        return []
+    jobs: dict[str, list[str]] = {}
+    for file in sorted(map(unquote, whole.inputFiles())):
+        job = _WRITE_JOB.search(file)
+        jobs.setdefault(job[1] if job else file, []).append(file)
+    layouts: dict[str, tuple[T.StructType, list[str]]] = {}
+    for files in jobs.values():
+        layout = spark.read.parquet(files[0]).schema if len(jobs) > 1 else whole.schema
+        layouts.setdefault(layout.json(), (layout, []))[1].extend(files)
+    if len(layouts) == 1:
+        return [whole]
+    stored = {f.name for layout, _ in layouts.values() for f in layout}
+    folders = [f for f in whole.schema if f.name not in stored]
+    return [
+        spark.read.schema(T.StructType([*layout, *folders])).option("basePath", path).parquet(*files)
+        for layout, files in layouts.values()
+    ]
+
+
 def read_bars(
     spark: SparkSession, path: str, columns: Sequence[str] | None = None, start: str | None = None, end: str | None = None
 ) -> DataFrame:
     """Stored bars with their declared types, or an empty table of that layout.
 
     Only the columns asked for are read from the files; unknown names are ignored.
-    Given a first and last day, only the folders of their years are read.
+    Given a first and last day, only the folders of their years are read.  Files
+    may hold a column in different types, or not at all; a value that is no number is null.
     """
-    stored = read_parquet_or_none(spark, path)
-    if stored is None:
-        stored = empty_bars(spark)
+    scans = read_layouts(spark, path) or [empty_bars(spark)]
+    parts = [_declared(scan, columns, start, end) for scan in scans]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _declared(stored: DataFrame, columns: Sequence[str] | None, start: str | None, end: str | None) -> DataFrame:
+    typed = {"Date": as_date, "Ticker": lambda df, c: F.col(c).cast("string"), **{m: as_double for m in MEASURES}}
     for day, keep in ((start, Column.__ge__), (end, Column.__le__)):
         if day:
             bound = F.lit(day).cast("date")
-            stored = stored.filter(keep(F.col("Date"), bound))
+            stored = stored.filter(keep(_typed_column(stored, "Date", typed), bound))
             if "year" in stored.columns:
                 stored = stored.filter(keep(F.col("year"), F.year(bound)))
     wanted = [f.name for f in BAR_SCHEMA if f.name in stored.columns]
     wanted = [c for c in columns or [] if c in wanted] or wanted
-    typed = {"Date": as_date, **{m: as_double for m in MEASURES}}
-    return stored.select(*[
-        typed[c](stored, c).alias(c) if c in typed and stored.schema[c].dataType != BAR_SCHEMA[c].dataType
-        else F.col(quoted(c))
-        for c in wanted
-    ])
+    return stored.select(*[_typed_column(stored, c, typed).alias(c) for c in wanted])
+
+
+def _typed_column(df: DataFrame, name: str, typed: dict) -> Column:
+    return F.col(quoted(name)) if df.schema[name].dataType == BAR_SCHEMA[name].dataType else typed[name](df, name)
 
 
 def range_slice(bars: DataFrame, start: str, end: str) -> DataFrame:

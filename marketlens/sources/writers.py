@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.operators.joins import new_tickers
-from marketlens.operators.projections import stringify_temporal
-from marketlens.operators.sets import merge_history
+from marketlens.operators.projections import conform_bars, stringify_temporal
+from marketlens.operators.sets import merge_history, union_bars
 from marketlens.schemas import BAR_COLUMNS
-from marketlens.session import scratch_path
-from marketlens.sources.readers import read_bars, read_parquet_or_none
+from marketlens.session import remove_path, scratch_path
+from marketlens.sources.readers import read_bars, read_layouts
 
 
 def save_parquet(df: DataFrame, path: str, mode: str = "overwrite", temporal_as_text: bool = False) -> None:
@@ -38,25 +38,27 @@ def store_new_tickers(bars: DataFrame, path: str) -> None:
     write_bars(new_tickers(bars, read_bars(bars.sparkSession, path, ["Ticker"])), path, "append")
 
 
-def update_history(new: DataFrame, path: str, staged: str | None = None) -> str:
+def update_history(new: DataFrame, path: str, staged: str | None = None) -> str | None:
     """Merge new bars into the stored table; only the years they touch are rewritten.
 
-    The merged years are written to ``staged`` (by default in the scratch folder) first
-    and returned as a path.  Lost executors only repeat tasks.  Should the driver end
-    while folders are being replaced, ``publish_staged`` finishes the work.
+    The merged years are written to ``staged`` first.  Lost executors only repeat tasks.  Should the driver end
+    while folders are being replaced, ``publish_staged`` finishes the work from there.  A folder given by the
+    caller stays and is returned; one of the scratch folder is removed once it is published.
     """
     spark = new.sparkSession
-    stored = read_parquet_or_none(spark, path)
-    if stored is not None:
+    scans = read_layouts(spark, path)
+    if scans:
         years = [r[0] for r in new.select(F.year("Date")).distinct().collect()]  # as many as calendar years
         # Bars without a date share a folder, which is rewritten like that of a year.
         touched = F.col("year").isin([y for y in years if y is not None]) | (F.col("year").isNull() & F.lit(None in years))
-        merged = merge_history(stored.filter(touched), new)
+        merged = merge_history(union_bars([conform_bars(s.filter(touched), False) for s in scans]), new)
     else:
         merged = merge_history(new.limit(0), new)
-    staged = staged or scratch_path(spark, "history")
-    merged.write.parquet(staged)
-    publish_staged(spark, staged, path)
+    place = staged or scratch_path(spark, "history")
+    merged.write.parquet(place)
+    publish_staged(spark, place, path)
+    if staged is None:
+        remove_path(spark, place)
     return staged
 
 

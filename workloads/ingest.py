@@ -57,6 +57,24 @@ def parquet_scan(spark, sf):
     return readers.read_bars(spark, _bar_table(spark, sf), ["Ticker", "Date", "Close", "NoSuchColumn"])
 
 
+@query("parquet_scan_drift", with_sql("SELECT * FROM bars_supplier"))
+def parquet_scan_drift(spark, sf):
+    """Years written with volumes as whole numbers, as text and as doubles, among them a year of several kinds."""
+    path = scratch_path(spark, "drifting-bars")
+    bars, year = bars_supplier(spark, sf).withColumn("year", F.year("Date")), F.col("year")
+    rest = [F.col(c) for c in ("Date", "Open", "High", "Low", "Close", "Ticker", "year")]
+    even = F.crc32("Ticker") % 2 == 0
+
+    def add(rows, *volume):
+        rows.select(*rest, *volume).write.mode("append").partitionBy("year").parquet(path)
+
+    add(bars.filter(year < 1997), F.col("Volume").cast("bigint").alias("Volume"))
+    add(bars.filter((year == 1997) & even), F.col("Volume").cast("string").alias("Volume"))
+    add(bars.filter((year == 1997) & ~even), F.col("Volume").cast("bigint").alias("Volume"))
+    add(bars.filter(year > 1997), F.col("Volume"))
+    return readers.read_bars(spark, path)
+
+
 @query("parquet_raw", """
 SELECT event_id, ts, user_id, event_type, value, props FROM events""")
 def parquet_raw(spark, sf):

@@ -193,6 +193,19 @@ def quartile_cuts(spark, sf):
 QUARTILE_SQL = """CASE WHEN {x} <= {q}[1] THEN 'q1' WHEN {x} <= {q}[2] THEN 'q2' WHEN {x} <= {q}[3] THEN 'q3' ELSE 'q4' END"""
 
 
+#: Coarse enough that every series below is far longer, as a heavy ticker is at the default.
+COARSE = 200
+
+
+@query("quartile_rank_error", """
+SELECT l_returnflag AS "Ticker", count(*) AS n, TRUE AS e1, TRUE AS e2, TRUE AS e3 FROM lineitem GROUP BY 1""")
+def quartile_rank_error(spark, sf):
+    """Cuts of series longer than the sketch is exact for: each lies within rows / accuracy of its rank."""
+    lines = table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("Ticker"), F.col("l_extendedprice").alias("Close"))
+    errors = agg.quartile_rank_error(lines, COARSE)
+    return errors.select("Ticker", "n", *[(F.col(e) <= 1 / COARSE).alias(e) for e in ("e1", "e2", "e3")])
+
+
 @query("quartile_labels", with_sql("""
 WITH q AS (SELECT "Ticker", quantile_disc("Close", [0.25, 0.5, 0.75]) AS c FROM closes_long GROUP BY 1)
 SELECT "Ticker", "Date", "Close", """ + QUARTILE_SQL.format(x='"Close"', q="c") + """ AS "Quartile" FROM closes_long JOIN q USING ("Ticker")"""))
