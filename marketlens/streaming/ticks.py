@@ -110,26 +110,20 @@ def run_ticks(query: StreamingQuery, timeout_seconds: float | None = None) -> No
 
 def _stored(spark: SparkSession, path: str, layout: T.StructType) -> DataFrame:
     """A table of a known layout, as no file has to be opened for it; empty where there is none."""
-    if read_parquet_or_none(spark, path) is None:
+    found = read_parquet_or_none(spark, path)
+    if found is None:
         return spark.createDataFrame([], layout)
-    return spark.read.schema(layout).parquet(path)
-
-
-def _layout(spark: SparkSession, sink: str) -> T.StructType:
-    """The columns of a tick; times are with or without a zone, as the clock was."""
-    for part in ("packed", "live"):
-        found = read_parquet_or_none(spark, f"{sink}/{part}")
-        if found is not None:
-            return T.StructType([T.StructField(c, found.schema[c].dataType) for c in TICK_BAR_SCHEMA.names])
-    return TICK_BAR_SCHEMA
+    # Folder names alone tell too little of a type: one folder of rows without a day looks like text.
+    folders = {f.name: f.dataType for f in (*_FOLDERS, _PACK)}
+    return found.select(*[F.col(c).cast(folders[c]).alias(c) if c in folders else F.col(c) for c in layout.names])
 
 
 def _live(spark: SparkSession, sink: str) -> DataFrame:
-    return _stored(spark, f"{sink}/live", T.StructType([*_layout(spark, sink), *_FOLDERS]))
+    return _stored(spark, f"{sink}/live", T.StructType([*TICK_BAR_SCHEMA, *_FOLDERS]))
 
 
 def _packs(spark: SparkSession, sink: str) -> DataFrame:
-    return _stored(spark, f"{sink}/packed", T.StructType([*_layout(spark, sink), _FOLDERS["batch_id"], _PACK, _FOLDERS["day"]]))
+    return _stored(spark, f"{sink}/packed", T.StructType([*TICK_BAR_SCHEMA, _FOLDERS["batch_id"], _PACK, _FOLDERS["day"]]))
 
 
 def _listed(spark: SparkSession, sink: str) -> DataFrame:
@@ -149,7 +143,9 @@ def _visible(spark: SparkSession, sink: str, keep: Column) -> DataFrame:
     packed = _packs(spark, sink).filter(keep).join(
         listed.select("__day", "__pack").distinct(), same_day & (F.col("pack") == F.col("__pack")), "left_semi"
     )
-    live = _live(spark, sink).filter(keep).join(listed, same_day & (F.col("batch_id") == F.col("__batch_id")), "left_anti")
+    # Times are with or without a zone, as the clock was; where all is packed, the empty rest has to follow.
+    kind = packed.schema["EventTS"].dataType
+    live = _live(spark, sink).withColumn("EventTS", F.col("EventTS").cast(kind)).filter(keep).join(listed, same_day & (F.col("batch_id") == F.col("__batch_id")), "left_anti")
     return live.unionByName(packed.drop("pack"))
 
 
