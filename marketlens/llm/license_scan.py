@@ -3,7 +3,9 @@
 Every run of ``K`` words of a document is hashed and joined to the places where the same run stands in a template.  A hit at
 document word ``p`` and template word ``q`` votes for the diagonal ``p - q``.  A phrase stands at word ``d`` exactly if all
 its runs vote for the diagonal ``d``.  For longer license texts, diagonals at most ``GAP`` apart are merged, so that inserted
-or missing words do not break a span, and a span counts if it covers ``COVER`` of the template.
+or missing words do not break a span.  A span is then verified: it counts if it holds ``COVER`` of the template's runs, each
+of them once however many diagonals vote for it, so a text that only repeats a few template words gets no label.  The places
+of a template that were met are kept as bits, so a diagonal is one row of fixed size.
 
 The template table has a row per template word and comes from the lists below, so its broadcast has a fixed size.  Only hits
 and one marker per document are shuffled, counted before the shuffle.
@@ -60,7 +62,7 @@ def scan(docs: DataFrame, phrases=PHRASES, texts=TEXTS) -> DataFrame:
     """A row per document of ``doc_id`` and ``text``: ``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score``.
 
     A null text counts as empty: no words, no labels, score 0.  A null ``doc_id`` is kept.  Rows that repeat both ``doc_id``
-    and ``text`` are one document.  Other columns, whatever their names, are not read.  An empty table gives no rows.
+    and ``text`` are judged together and come back as often as they stand in the table.  Other columns, whatever their names, are not read.  An empty table gives no rows.
     ``score`` is the best covered share of any template; 1 where a phrase stands whole.
     """
     spark = docs.sparkSession
@@ -70,15 +72,20 @@ def scan(docs: DataFrame, phrases=PHRASES, texts=TEXTS) -> DataFrame:
         "doc_id", "row", "n_words", F.posexplode(F.concat(F.array(_marker()), "runs")).alias("p", "gram")
     ).join(F.broadcast(templates(spark, phrases, texts)), "gram")
     keys = ["doc_id", "row", "n_words"]
+    longest = max((len(t.split()) for t, _ in (*phrases, *texts)), default=K)
+    met = [f"met{i}" for i in range(1 + longest // 64)]
     diagonals = hits.groupBy(
         *keys, "template", "label", "is_base", "n_grams", (F.col("p") - 1 - F.col("at")).cast("long").alias("diagonal")
-    ).agg(F.countDistinct("at").alias("votes"))
+    ).agg(F.count(F.lit(1)).alias("hits"), *[
+        F.bit_or(F.when(F.floor(F.col("at") / 64) == i, F.expr("shiftleft(1L, at % 64)"))).alias(m) for i, m in enumerate(met)
+    ])
+    votes = sum((F.bit_count(F.coalesce(F.bit_or(m), F.lit(0).cast("long"))) for m in met), F.lit(0))
     # Neighbouring diagonals of one document and template make a span; a phrase stays on its own diagonal.
     near = Window.partitionBy("row", "doc_id", "template").orderBy("diagonal")
     starts = F.col("is_base") | (F.col("diagonal") - F.lag("diagonal").over(near) > GAP)
     spans = diagonals.withColumn("span", F.sum(F.coalesce(starts, F.lit(True)).cast("int")).over(near)).groupBy(
         *keys, "template", "label", "is_base", "n_grams", "span"
-    ).agg(F.sum("votes").alias("votes"), F.min("diagonal").alias("first"))
+    ).agg(votes.alias("votes"), F.min("diagonal").alias("first"), F.sum("hits").alias("hits"))
     share = F.least(F.lit(1.0), F.col("votes") / F.greatest("n_grams", F.lit(1)))
     found = spans.withColumn("share", F.when(F.col("template") >= 0, share).otherwise(0.0))
     whole = F.col("is_base") & (F.col("votes") == F.col("n_grams"))
@@ -90,7 +97,8 @@ def scan(docs: DataFrame, phrases=PHRASES, texts=TEXTS) -> DataFrame:
         F.concat_ws(",", F.array_sort(F.collect_set(F.when(whole, F.col("label"))))).alias("base_labels"),
         F.concat_ws(",", F.array_sort(F.collect_set(kept))).alias("labels"),
         F.max(F.when(F.col("is_base") & ~whole, 0.0).otherwise(F.col("share"))).alias("score"),
-    ).drop("row")
+        F.max(F.when(F.col("template") < 0, F.col("hits"))).alias("copies"),  # each row has hit the marker once
+    ).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("row", "copies", "copy")
 
 
 def oracle_sql(phrases=PHRASES, texts=TEXTS) -> str:
@@ -105,12 +113,13 @@ tg AS (SELECT template, label, is_base, len(tw) - 1 AS n, j - 1 AS q, tw[j] AS a
 w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
         '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
 g AS (SELECT doc_id, i - 1 AS p, ws[i] AS a, ws[i + 1] AS b FROM w, range(1, len(ws)) r(i)),
-d AS (SELECT doc_id, template, label, is_base, n, p - q AS d, count(DISTINCT q) AS v FROM g JOIN tg USING (a, b) GROUP BY ALL),
+d AS (SELECT doc_id, template, label, is_base, n, p - q AS d, list(DISTINCT q) AS qs FROM g JOIN tg USING (a, b) GROUP BY ALL),
 m AS (SELECT *, CASE WHEN is_base OR d - lag(d) OVER x > {GAP} OR lag(d) OVER x IS NULL THEN 1 ELSE 0 END AS s
       FROM d WINDOW x AS (PARTITION BY doc_id, template ORDER BY d)),
 c AS (SELECT *, sum(s) OVER (PARTITION BY doc_id, template ORDER BY d) AS span FROM m),
-f AS (SELECT doc_id, label, is_base, sum(v) >= n AS whole, least(1.0, sum(v)::DOUBLE / n::DOUBLE) AS share, min(d) AS first
+v AS (SELECT doc_id, label, is_base, n, len(list_distinct(flatten(list(qs)))) AS v, min(d) AS first
       FROM c GROUP BY doc_id, template, label, is_base, n, span),
+f AS (SELECT doc_id, label, is_base, v >= n AS whole, least(1.0, v::DOUBLE / n::DOUBLE) AS share, first FROM v),
 r AS (SELECT doc_id, count(*) FILTER (is_base AND whole) AS n_base, min(first) FILTER (is_base AND whole) AS first_word,
         max(first) FILTER (is_base AND whole) AS last_word,
         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (is_base AND whole) AS base_labels,

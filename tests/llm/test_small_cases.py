@@ -88,7 +88,7 @@ def test_license(spark):
     n = len(alnum(LONG))
     same(
         [(r["doc_id"], r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) for r in found],
-        [(1, 3, 1, 1, 1, "mit"), (2, 0, 0, None, None, ""), (3, 0, 0, None, None, ""), (4, 4, 2, 0, 2, "cc-by"), (None, 1, 0, None, None, ""),
+        [(1, 3, 1, 1, 1, "mit"), (2, 0, 0, None, None, ""), (3, 0, 0, None, None, ""), (4, 4, 2, 0, 2, "cc-by"), (4, 4, 2, 0, 2, "cc-by"), (None, 1, 0, None, None, ""),
          (5, n + 2, 1, n, n, "apache")],
     )
     assert all(0 <= r["score"] <= 1 for r in found)
@@ -322,3 +322,17 @@ def test_quality(spark):
         bit = 1 << [name for name, _ in quality_rules.RULES].index(r["rule"])
         assert (r["n_failed"], r["n_only"]) == (sum(bool(f & bit) for f in fails), sum(f == bit for f in fails))
     assert quality_rules.judge(frame(spark, [])).count() == 0
+
+
+def test_license_counts_each_template_run_once_and_keeps_repeated_rows(spark):
+    long = " ".join(f"w{i}" for i in range(200))
+    rows = [(1, "the license " * 12), (2, "mit license"), (2, "mit license"), (3, None), (3, None), (4, long), (5, " ".join(long.split()[60:135]))]
+    columns = spark.createDataFrame(rows, "doc_id long, text string")
+    found = license_scan.scan(columns).collect()
+    assert sorted(r["doc_id"] for r in found) == [1, 2, 2, 3, 3, 4, 5]
+    assert {r["doc_id"]: r["labels"] for r in found} == {1: "", 2: "mit", 3: "", 4: "", 5: ""}
+    assert all(r["score"] < 0.2 for r in found if r["doc_id"] == 1)
+    # A template of more runs than a mask has bits.
+    found = {r["doc_id"]: r for r in license_scan.scan(columns, texts=[(long, "long")]).collect()}
+    assert (found[4]["labels"], found[4]["score"]) == ("long", 1.0) and found[5]["labels"] == ""
+    assert abs(found[5]["score"] - 74 / 199) < 1e-9
