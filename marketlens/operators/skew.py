@@ -62,25 +62,39 @@ def cut_points(df: DataFrame, key: Sequence[str], order: Sequence[str], rows_per
 
 
 def _slice_number(order: Sequence[str]) -> Column:
-    """How many cuts lie at or below the row's position, by binary search."""
+    """How many of a key's cuts in the list of all lie at or below the row's position, by binary search."""
+    first, n = F.coalesce("__first", F.lit(0)), F.col("__n")
     steps = F.array(*[F.lit(s) for s in _SEARCH_STEPS])
-    here = _point(order)
 
-    def step_over(done: Column, step: Column) -> Column:
-        reached = F.get("__cuts", done + step - 1)
-        return F.when(reached.isNotNull() & (reached <= here), done + step).otherwise(done)
+    def search(told: Column) -> Column:
+        def step_over(done: Column, step: Column) -> Column:
+            reached = F.get(told["cuts"], first + done + step - 1)
+            return F.when((done + step <= n) & (reached <= told["here"]), done + step).otherwise(done)
 
-    return F.when(F.col("__cuts").isNull(), 0).otherwise(F.aggregate(steps, F.lit(0), step_over))
+        return F.aggregate(steps, F.lit(0), step_over)
+
+    # The list is named once, right above a join, so Spark folds it into this expression; as a column it would be copied into every row.
+    told = F.array(F.struct(F.col("__cuts").alias("cuts"), _point(order).alias("here")))
+    return F.when(n > 0, F.get(F.transform(told, search), 0)).otherwise(0)
 
 
 def with_slices(df: DataFrame, cuts: DataFrame, key: Sequence[str], order: Sequence[str], heavy_only: bool = False) -> DataFrame:
-    """Add ``__slice``; 0 for every row of a light key.  Without a key the whole table is cut."""
-    lists = cuts.groupBy(*key).agg(F.array_sort(F.collect_list("__point")).alias("__cuts"))
+    """Add ``__slice``; 0 for every row of a light key.  Without a key the whole table is cut.
+
+    All cuts are one list, which tasks share, by key and point; a row carries only the place and number of its key's cuts,
+    so what a row costs grows with the logarithm of the cuts.
+    """
+    points = F.array_sort(F.collect_list(F.struct(*key, "__point")))
+    every = cuts.agg(F.transform(points, lambda p: p["__point"])).scalar()
     if key:
-        joined = _look_up(df, lists, key, "inner" if heavy_only else "left")
+        earlier = Window.orderBy(*key).rowsBetween(Window.unboundedPreceding, -1)
+        places = cuts.groupBy(*key).agg(F.count(F.lit(1)).cast("int").alias("__n")).withColumn(
+            "__first", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).cast("int")
+        )
+        joined = _look_up(df, places, key, "inner" if heavy_only else "left")
     else:
-        joined = df.withColumn("__cuts", lists.scalar())
-    return joined.withColumn("__slice", _slice_number(order)).select(*map(quoted, df.columns), "__slice")
+        joined = df.crossJoin(F.broadcast(cuts.agg(F.count(F.lit(1)).cast("int").alias("__n"), F.max(F.lit(0)).alias("__first"))))
+    return joined.withColumn("__cuts", every).withColumn("__slice", _slice_number(order)).select(*map(quoted, df.columns), "__slice")
 
 
 def ordered_window(

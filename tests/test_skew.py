@@ -170,3 +170,11 @@ def test_registered_queries_meet_many_slices(spark):
         (returns, ["IsFriday"], ["Return"], bars.SLICE),
     ):
         assert skew.cut_points(df, key, order, rows).agg(F.max("__slice")).first()[0] >= 7
+
+
+def test_no_row_carries_a_list_of_cuts(spark):
+    df = series(spark)
+    for key in (["Ticker"], []):
+        cuts = skew.cut_points(df, key, ["EventTS", "id"], 20)
+        plan = skew.with_slices(df, cuts, key, ["EventTS", "id"])._jdf.queryExecution().optimizedPlan().toString()
+        assert "__cuts" not in plan  # folded into the search, which reads one shared list
