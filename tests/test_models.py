@@ -123,3 +123,27 @@ def test_aligned_where_the_largest_overlap_misleads(spark):
     out = joins.align_labels(df, "a", "b")
     assert out.where("a = b").count() == 18 and out.where("a IS NULL").count() == 1
     assert out.select("a").distinct().count() == 4
+
+
+def test_mixtures_step_together_as_the_library_steps_alone(spark):
+    rows = spark.createDataFrame([(float(i % 7) + i / 1000, float(i % 5) * (1 + i % 2)) for i in range(400)] + [(None, 1.0)], "Open double, Close double")
+    rows = rows.coalesce(2)
+    vectors = clustering.assembler().transform(rows).select("features")
+    found = clustering.fit_mixtures(rows, clustering.PRICE_FEATURES, [(2, 123), (3, 5)])
+    for (model, likely), (k, seed) in zip(found, [(2, 123), (3, 5)]):
+        want = clustering.gaussian_mixture(k, seed).fit(vectors)
+        assert likely == pytest.approx(want.summary.logLikelihood, rel=1e-9)
+        assert list(model.weights) == pytest.approx(list(want.weights), rel=1e-6)
+        for a, b in zip(model.gaussians, want.gaussians):
+            assert a.mean.toArray() == pytest.approx(b.mean.toArray(), rel=1e-6) and a.cov.toArray() == pytest.approx(b.cov.toArray(), rel=1e-5, abs=1e-9)
+        assert model.transform(vectors).select("prediction").collect() == want.transform(vectors).select("prediction").collect()
+
+
+def test_a_stored_table_is_not_stored_twice(spark):
+    rows = spark.createDataFrame([(1.0, 2.0)], "Open double, Close double")
+    with clustering.kept(rows, ["Open"]) as once:
+        assert once.storageLevel.useMemory
+        with clustering.kept(once, ["Open"]):
+            pass
+        assert once.storageLevel.useMemory
+    assert not once.storageLevel.useMemory
