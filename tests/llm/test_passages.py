@@ -6,6 +6,7 @@ import re
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 from test_brute_force import brute_repeats
 from test_small_cases import ROWS, frame, same
@@ -121,3 +122,39 @@ def test_repeated_rows_hold_each_others_passages(spark):
     rows = [(1, text), (1, text), (2, "other")]
     found = collections.Counter((r.doc_id, r.n_removed, r.n_passages, r.n_passage_bytes) for r in suffix_dedup.report(frame(spark, rows)).collect())
     assert found == {(1, 0, 1, len(text)): 2, (2, 0, 0, 0): 1}
+
+
+class Steps:
+    """Instead of a table: the function that it would be mapped by."""
+
+    def mapInArrow(self, function, schema):
+        return function
+
+
+def test_suffixes_are_named_many_texts_at_a_time():
+    """A batch of a few rows for each text costs more than the names in it."""
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("ab é") for _ in range(rng.randrange(70, 120))) for _ in range(500)]
+    data = [t.encode() for t in texts]
+    runs = [[{"key": 2 * i, "start": a, "end": a + 40 + i % 9, "open": i % 2 == 0, "others": None} for a in (11, 3)] for i in range(len(texts))]
+    kind = pa.list_(pa.struct([("key", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("open", pa.bool_()), ("others", pa.bool_())]))
+    whole = pa.RecordBatch.from_arrays([pa.array(range(500), pa.int64()), pa.array(texts), pa.array(runs, kind)], names=["row", "text", "runs"])
+    named = list(suffix_dedup._name_suffixes(Steps(), 40, None)(iter([whole.slice(7)])))
+    assert len(named) < 10
+    found = pa.Table.from_batches(named).to_pylist()
+    places = [(r["row"], r["key"], r["place"] & (1 << 32) - 1, r["place"] >> 32, r["open"], r["others"]) for r in found]
+    same(places, [(i, 2 * i, a + j, 40, i % 2 == 0, None) for i in range(7, 500) for a in (11, 3) for j in range(i % 9 + 1)])
+    string = {}
+    for r, p in zip(found, places):
+        assert string.setdefault(r["name"], data[p[0]][p[2]:p[2] + 40]) == data[p[0]][p[2]:p[2] + 40]
+    assert len(string) == len(set(string.values()))
+
+
+def test_strings_longer_than_a_step(spark):
+    length = suffix_dedup.STEP + 5_000
+    rng = np.random.default_rng(1)
+    letters = lambda n: rng.integers(97, 123, n, np.uint8).tobytes().decode()
+    shared = letters(length + 300)
+    rows = [(1, letters(500) + shared + letters(90_000)), (2, shared[1:]), (3, letters(2 * length)), (4, "x" * 200_000)]
+    found = {r.doc_id: (r.n_removed, r.n_spans) for r in suffix_dedup.report(frame(spark, rows), length, 10 ** 5).collect()}
+    assert found == {1: (length + 299, 1), 2: (length + 299, 1), 3: (0, 0), 4: (200_000, 1)}
