@@ -4,6 +4,8 @@ import collections
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from test_small_cases import ROWS, frame, same
@@ -92,3 +94,39 @@ def test_table(spark, sf):
     docs = table(spark, sf, "documents")
     rows = [(r.lang, r.text) for r in docs.collect()]
     same(found(docs, per_language=4), brute_phrases(rows))
+
+
+@pytest.mark.parametrize("lang", ["en", "two\nlines", ""])
+def test_full_pass_counts_numbers(lang):
+    """Rare pairs and triples, most of what is shuffled, go without their words; what is frequent is spelled."""
+    rng = random.Random(5)
+    known = ["a", "é", "x|y", "#1", "z", "q"]
+    pairs = [f"{a} {b}" for a in known for b in known if rng.random() < 0.5]
+    told = pa.Table.from_pylist([{"lang": lang, "words": n, "phrase": p} for n, own in ((1, known), (2, pairs)) for p in own])
+    texts = ["".join(rng.choice([*known, "new"]) + rng.choice([" ", " ", "\t", ", ", ".", "\n"]) for _ in range(rng.randrange(80))) for _ in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array([lang] * 30 + ["other"] * 10), pa.array(texts)], names=["lang", "text"])
+    proposed = phrase_mining.Proposals(told)
+    rows = list(phrase_mining._count_numbered(iter([batch]), proposed))
+    assert all(r["word"] is None or r["head"] == -1 and " " not in r["word"] for b in rows for r in b.to_pylist())
+    expected = collections.Counter()
+    for own, text in zip(batch["lang"].to_pylist(), texts):
+        for piece in re.split(r"[.,\n]", text):
+            words = piece.split()
+            expected[own, 0, ""] += len(words)
+            for k in (1, 2, 3):
+                for i in range(len(words) - k + 1):
+                    w = words[i:i + k]
+                    if k == 1 or own == lang and (set(w) <= set(known) if k == 2 else {f"{w[0]} {w[1]}", f"{w[1]} {w[2]}"} <= set(pairs)):
+                        expected[own, k, " ".join(w)] += 1
+    spelled = [tuple(r.values()) for b in phrase_mining._spelled(iter(rows), proposed) for r in b.to_pylist()]
+    same(spelled, [(*k, n) for k, n in expected.items()])
+
+
+def test_counts_of_many_distinct_words():
+    """Three of 3 million words don't fit one number of 64 bits."""
+    w, at = phrase_mining.Words(pa.array(["a b a b c a b a"], pa.large_string())), np.arange(6)
+    expected = {"a b a": 2, "b a b": 1, "a b c": 1, "b c a": 1, "c a b": 1}
+    for more in (0, 3_000_000):
+        w.distinct = pa.concat_arrays([w.distinct, pa.array([f"w{i}" for i in range(more)], pa.large_string())])
+        phrase, count = w.counts(3, at)
+        assert dict(zip(phrase.to_pylist(), count.tolist())) == expected
