@@ -94,3 +94,29 @@ def test_large_table(spark):
     ours, theirs = [tuple(r) for r in embedding_dedup.report(docs).collect()], brute(rows)
     assert sum(r[1] for r in ours) >= 0.99 * sum(r[1] for r in theirs)
     assert sum(a[2] == b[2] for a, b in zip(sorted(ours), sorted(theirs))) >= 0.99 * len(rows)
+
+
+def test_circle(spark):
+    """In the plane all that link meet, and leaders may belong to another ball: counts are those of all pairs."""
+    angles = np.random.default_rng(1).uniform(0, 2 * np.pi, 300)
+    rows = [(i, [float(np.cos(a)), float(np.sin(a))]) for i, a in enumerate(angles)]
+    same(found(spark, rows), brute(rows))
+
+
+def test_chance_meetings_leave_no_rows(spark, monkeypatch):
+    """Vectors that are far apart share thousands of table entries; none of these pairs may be moved with their vectors."""
+    judged, judge = [], embedding_dedup._judge
+    monkeypatch.setattr(embedding_dedup, "_judge", lambda pairs, least: judged.append(pairs.count()) or judge(pairs, least))
+    rows = [(i, [float(y) for y in x]) for i, x in enumerate(np.random.default_rng(5).standard_normal((3000, 64)))]
+    rows += [(5000 + i, [1.01 * y + 0.001 for y in v]) for i, v in rows[:20]]
+    same(found(spark, rows), brute(rows))
+    assert sum(judged) < 200
+
+
+def test_halves_in_pieces(spark, monkeypatch):
+    """Halves shared by many are compared in pieces and groups, tables and pairs are taken in parts: the same rows."""
+    monkeypatch.setattr(embedding_dedup, "HALF_ROWS", 20)
+    monkeypatch.setattr(embedding_dedup, "GROUP", 2)
+    monkeypatch.setattr(embedding_dedup, "AT_ONCE", 100)
+    rows = groups(3, 0.2)
+    same(found(spark, rows), brute(rows))
