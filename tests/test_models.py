@@ -147,3 +147,50 @@ def test_a_stored_table_is_not_stored_twice(spark):
             pass
         assert once.storageLevel.useMemory
     assert not once.storageLevel.useMemory
+
+
+def test_sweep_of_kmeans_as_the_library_fits_alone(spark, monkeypatch):
+    """Groups far apart have one best fit; no model is fitted by itself."""
+    df, x = points(spark, n=150)
+    df = df.unionByName(spark.createDataFrame([(None, 1.0), (float("nan"), 2.0)], df.schema)).repartition(3)
+    want = clustering.kmeans_pipeline(3).fit(df)
+    expected = clustering.silhouette(want.transform(df))
+    models = scratch_path(spark, "models")
+
+    def alone(*_):
+        raise AssertionError("a model was fitted by itself")
+
+    monkeypatch.setattr(clustering.KMeans, "fit", alone)
+    runs = {r["params"]["k"]: r for r in clustering.k_by_silhouette(df, (2, 3), models=models).collect()}
+    assert set(runs) == {"2", "3"} and runs["3"]["metrics"]["silhouette"] == pytest.approx(expected, abs=1e-9)
+    for k, r in runs.items():
+        stored = clustering.load_run(models, r["run_id"])
+        assert clustering.silhouette(stored.transform(df)) == pytest.approx(r["metrics"]["silhouette"], abs=1e-9)
+        if k == "3":
+            ours, theirs = (np.array(sorted(map(tuple, m.stages[-1].clusterCenters()))) for m in (stored, want))
+            assert np.allclose(ours, theirs)
+
+
+def test_sweep_of_kmeans_without_clusters(spark):
+    """As the library and its evaluator have it."""
+    df = spark.createDataFrame([(1.0, 1.0)] * 5, "Open double, Close double")
+    for rows in (df, df.limit(0)):
+        with pytest.raises(Exception):
+            clustering.k_by_silhouette(rows, (2,))
+    two = df.unionByName(spark.createDataFrame([(5.0, 1.0)], df.schema))
+    assert clustering.k_by_silhouette(two, (2, 4)).select("metrics.silhouette").distinct().first()[0] == pytest.approx(5 / 6)
+
+
+def test_labels_are_worked_out_once(spark):
+    """A label may be a model's prediction; the rows are read three times."""
+    _, x = points(spark)
+    asked = spark.sparkContext.accumulator(0)
+
+    def label(a):
+        asked.add(1)
+        return int(a > 5)
+
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in x], "Open double, Close double")
+    placed = df.withColumn("prediction", F.udf(label, "int")("Open"))
+    assert clustering.silhouette_by_sums(placed, FEATURES) == pytest.approx(brute_silhouette(x, (x[:, 0] > 5).astype(int)), abs=1e-6)
+    assert asked.value == len(x)
